@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lexweave.llm import mixing, sharding
+from lexweave.llm import decontaminate, mixing, sharding
 
 QUERIES = {
+    "op1_fm_index": decontaminate.op1_fm_index,
     "op4_shard_tree": sharding.op4_shard_tree,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 ORACLE_SQL = {
+    "op1_fm_index": decontaminate.OP1_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
 }
