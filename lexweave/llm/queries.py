@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lexweave.llm import decontaminate, mixing, sharding
+from lexweave.llm import decontaminate, mixing, quality, sharding
 
 QUERIES = {
     "op1_fm_index": decontaminate.op1_fm_index,
     "op4_shard_tree": sharding.op4_shard_tree,
+    "op7_attention_mil": quality.op7_attention_mil,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 ORACLE_SQL = {
