@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from lexweave.llm import decontaminate, language, mixing, quality, rules, sharding
+from lexweave.llm import decontaminate, language, licenses, mixing, quality, rules, sharding
 
 QUERIES = {
     "op1_fm_index": decontaminate.op1_fm_index,
     "op3_risk_rules": rules.op3_risk_rules,
     "op4_shard_tree": sharding.op4_shard_tree,
+    "op5_diagonal_votes": licenses.op5_diagonal_votes,
     "op7_attention_mil": quality.op7_attention_mil,
     "op8_nearest_centroid": language.op8_nearest_centroid,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 ORACLE_SQL = {
     "op1_fm_index": decontaminate.OP1_SQL,
+    "op5_diagonal_votes": licenses.OP5_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
 }
