@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexweave.llm import decontaminate, language, licenses, mixing, quality, rules, sharding
+from lexweave.llm import decontaminate, language, licenses, lines, mixing, quality, rules, sharding
 
 QUERIES = {
     "op1_fm_index": decontaminate.op1_fm_index,
@@ -12,9 +12,11 @@ QUERIES = {
     "op7_attention_mil": quality.op7_attention_mil,
     "op8_nearest_centroid": language.op8_nearest_centroid,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_perfect_hash_lines": lines.op10_perfect_hash_lines,
 }
 ORACLE_SQL = {
     "op1_fm_index": decontaminate.OP1_SQL,
     "op5_diagonal_votes": licenses.OP5_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
+    "op10_perfect_hash_lines": lines.OP10_SQL,
 }
