@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lexweave.llm import decontaminate, language, licenses, lines, mixing, quality, rules, sharding
+from lexweave.llm import decontaminate, language, licenses, lines, mixing, quality, rules, sharding, substrings
 
 QUERIES = {
     "op1_fm_index": decontaminate.op1_fm_index,
+    "op2_difference_cover": substrings.op2_difference_cover,
     "op3_risk_rules": rules.op3_risk_rules,
     "op4_shard_tree": sharding.op4_shard_tree,
     "op5_diagonal_votes": licenses.op5_diagonal_votes,
