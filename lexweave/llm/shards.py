@@ -25,6 +25,9 @@ from lexweave.storage import materialize
 
 SHARD_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
+#: A shard's number is its task's number and its own in it; a row's is the shard's and its place.
+ROW_BITS = 20
+MOST_ROWS = 1 << (ROW_BITS - 1)
 PACKED = "shard long, n long, size long, ids binary, null_ids binary, offsets binary, text binary"
 _CODEC = "zstd"
 
@@ -37,6 +40,9 @@ class Shard:
     offsets: np.ndarray
     data: np.ndarray
 
+    def rows(self) -> np.ndarray:
+        return (np.int64(self.shard) << ROW_BITS) + np.arange(len(self.ids))
+
     def id_array(self) -> pa.Array:
         return pa.array(self.ids, pa.int64(), mask=self.null_ids)
 
@@ -54,7 +60,7 @@ def pack(docs: DataFrame) -> DataFrame:
     """The written table of shards of docs (doc_id, text); null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, held, size = TaskContext.get().partitionId() << 32, [], 0
+        base, held, size = TaskContext.get().partitionId() << ROW_BITS, [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal base, held, size
@@ -69,10 +75,10 @@ def pack(docs: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = bt.utf8(batch.column("text"))
             ids = batch.column("doc_id")
-            for lo, hi in bt.cuts(offsets, SHARD_BYTES // 4):
+            for lo, hi in ((a, min(hi, a + MOST_ROWS // 2)) for lo, hi in bt.cuts(offsets, SHARD_BYTES // 4) for a in range(lo, hi, MOST_ROWS // 2)):
                 held.append((ids.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]].copy(), offsets[lo : hi + 1] - offsets[lo]))
                 size += int(offsets[hi] - offsets[lo])
-                if size >= SHARD_BYTES * 3 // 4:
+                if size >= SHARD_BYTES * 3 // 4 or sum(len(x[0]) for x in held) >= MOST_ROWS:
                     yield flush()
         if held:
             yield flush()
@@ -159,3 +165,41 @@ def split_sorted(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]
     cut = np.flatnonzero(np.diff(own, prepend=-1))
     for a, b in zip(cut, np.append(cut[1:], len(own)), strict=True):
         yield int(own[a]), slice(int(a), int(b))
+
+
+#: Bytes of a hash beyond the bucket's bits that a shard sends to learn whether it repeats.
+HASH_BYTES = 5
+
+
+def hash_question(keys: np.ndarray, both: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Sorted distinct hashes by bucket, five bytes each; both: known to stand in two documents."""
+    drop = np.uint64(64 - 8 * HASH_BYTES - (buckets - 1).bit_length())
+    for b, own in split_sorted(keys, buckets):
+        low = (keys[own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+        yield b, len(low).to_bytes(4, "little") + np.packbits(both[own]).tobytes() + low.tobytes()
+
+
+def repeated_answer(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+    """A bit for each hash, whether two documents or more have it; a chance agreement of five bytes counts too."""
+    keys, both = [], []
+    for _, p in asked:
+        n = int.from_bytes(p[:4], "little")
+        both.append(np.unpackbits(np.frombuffer(p, np.uint8, -(-n // 8), 4), count=n).astype(bool))
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :HASH_BYTES] = np.frombuffer(p, np.uint8, n * HASH_BYTES, 4 + -(-n // 8)).reshape(n, HASH_BYTES)
+        keys.append(wide.view("<u8")[:, 0])
+    every = np.concatenate(keys)
+    every.sort()
+    again = np.unique(every[1:][every[1:] == every[:-1]])
+    for (shard, _), k, two in zip(asked, keys, both, strict=True):
+        bits = two | (again[np.minimum(np.searchsorted(again, k), len(again) - 1)] == k if len(again) else False)
+        yield shard, np.packbits(bits).tobytes() if bits.any() else b""
+
+
+def repeated_bits(keys: np.ndarray, replies: dict[int, bytes], buckets: int, offset: int = 0) -> np.ndarray:
+    """The answer for sorted distinct hashes; offset: of the replies' bucket numbers."""
+    again = np.zeros(len(keys), bool)
+    for b, own in split_sorted(keys, buckets):
+        if b + offset in replies:
+            again[own] = np.unpackbits(np.frombuffer(replies[b + offset], np.uint8), count=own.stop - own.start).astype(bool)
+    return again

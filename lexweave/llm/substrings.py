@@ -44,8 +44,6 @@ COVER = (1, 5, 11, 24, 25, 27)
 SUB_BYTES = 1 << 20
 #: Suffixes of one sorted block.
 BLOCK = 1 << 19
-#: Bytes of a minimizer's hash beyond the bucket's bits that a shard sends.
-HASH_BYTES = 5
 NO_ID = np.iinfo(np.int64).max
 _SECOND = 1 << 24  # replies of the second question have bucket numbers from here
 
@@ -110,10 +108,7 @@ def _minimizers(s: Stretches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _repeated(s: Stretches, replies: dict[int, bytes], buckets: int) -> np.ndarray:
     """Which stretches have a minimizer that stands in two documents or more."""
     keys, _, back = _minimizers(s)
-    again = np.zeros(len(keys), bool)
-    for b, own in sh.split_sorted(keys, buckets):
-        if b in replies:
-            again[own] = np.unpackbits(np.frombuffer(replies[b], np.uint8), count=own.stop - own.start).astype(bool)
+    again = sh.repeated_bits(keys, replies, buckets)
     return again[back]
 
 
@@ -263,30 +258,12 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     packed = sh.pack(docs)
     few, many = sh.bucket_count(packed, 0.35), sh.bucket_count(packed, 1.0)
-    few_bits = np.uint64(64 - 8 * HASH_BYTES - (few - 1).bit_length())
 
     def ask_repeated(s: sh.Shard) -> Iterator[tuple[int, bytes]]:
         keys, both, _ = _minimizers(stretches(s.data, s.offsets))
-        for b, own in sh.split_sorted(keys, few):
-            low = (keys[own] >> few_bits).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
-            yield b, len(low).to_bytes(4, "little") + np.packbits(both[own]).tobytes() + low.tobytes()
+        yield from sh.hash_question(keys, both, few)
 
-    def answer_repeated(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-        keys, both = [], []
-        for _, p in asked:
-            n = int.from_bytes(p[:4], "little")
-            both.append(np.unpackbits(np.frombuffer(p, np.uint8, -(-n // 8), 4), count=n).astype(bool))
-            wide = np.zeros((n, 8), np.uint8)
-            wide[:, :HASH_BYTES] = np.frombuffer(p, np.uint8, n * HASH_BYTES, 4 + -(-n // 8)).reshape(n, HASH_BYTES)
-            keys.append(wide.view("<u8")[:, 0])
-        every = np.concatenate(keys)
-        every.sort()
-        again = np.unique(every[1:][every[1:] == every[:-1]])
-        for (shard, _), k, two in zip(asked, keys, both, strict=True):
-            bits = two | (again[np.minimum(np.searchsorted(again, k), len(again) - 1)] == k if len(again) else False)
-            yield shard, np.packbits(bits).tobytes() if bits.any() else b""
-
-    repeated = materialize(sh.answer(sh.ask(packed, ask_repeated), answer_repeated), "repeated")
+    repeated = materialize(sh.answer(sh.ask(packed, ask_repeated), sh.repeated_answer), "repeated")
 
     def ask_same(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, ids = stretches(s.data, s.offsets), _ids(s)
