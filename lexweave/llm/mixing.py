@@ -12,7 +12,7 @@ Only DataFrame expressions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.storage import materialize
@@ -24,6 +24,19 @@ MOST_EPOCHS = 3
 ROWS_PER_RANGE = 20_000
 
 
+#: Rows of about 100 bytes.
+BROADCAST_SOURCES = 100_000
+
+
+def _key() -> Column:
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
+
+
+def _name() -> Column:
+    """The source, or what stands for a null one."""
+    return F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """(source, source_size) to (source, source_size, target).
 
@@ -49,7 +62,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
         .withColumn("_caps", F.sum("_cap").over(upto) - F.col("_cap"))
         .withColumn("_rest", F.sum("_w").over(every) - F.sum("_w").over(upto) + F.col("_w"))
         .withColumn("_level", (F.col("_total") - F.col("_caps")) / F.col("_rest"))
-        .withColumn("_free", F.min(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(every))
+        .withColumn("_free", F.min(F.when(F.col("_level") <= F.col("_ratio"), F.struct("_ratio", "_i", "_level"))).over(every)["_level"])
     )
     target = F.least(F.col("_cap"), F.coalesce(F.col("_free"), F.lit(0.0)) * F.col("_w"))
     return levels.select("source", "source_size", target.alias("target"))
@@ -61,13 +74,13 @@ def take_words(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     Rows are read several times: give a written table.
     """
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sources, weights, most).withColumn("_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
+    targets = source_targets(sources, weights, most).withColumn("_source", _name()).drop("source")
     digits, n = 1, rows.count()
     while 16**digits * ROWS_PER_RANGE < n or digits < 2:
         digits += 1
     keyed = (
-        rows.withColumn("_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
-        .withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")))
+        rows.withColumn("_source", _name())
+        .withColumn("_key", _key())
         .withColumn("_range", F.substring("_key", 1, digits))
     )
     before = (
@@ -103,6 +116,32 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
     return take_words(rows, weights, most).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
+    """docs as the mix takes them: a row for each epoch, whole or cut, that a document is in.
+
+    A source's cut is a key: documents up to it come in the last epoch, the one
+    at the cut whole, so that a source exceeds its target by less than one
+    document (or the rows of one id). Documents without words follow the same
+    order. Texts aren't shuffled where the sources' cuts can be broadcast.
+    """
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = materialize(docs.select("doc_id", "source", size.alias("size")), "mix")
+    taken = take_words(rows, weights, most)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    cuts = (
+        taken.withColumn("_epochs", epochs)
+        .groupBy(_name().alias("_source"))
+        .agg(F.first("_epochs").cast("int").alias("_epochs"), F.max(F.when(F.col("taken") > F.col("_epochs") * F.col("size"), _key())).alias("_cut"))
+    )
+    cuts = materialize(cuts, "cuts")
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    out = docs.withColumn("_source", _name()).join(cuts, "_source")
+    times = F.col("_epochs") + F.when(_key() <= F.col("_cut"), 1).otherwise(0)
+    out = out.withColumn("_times", times).where("_times > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return out.select(*docs.columns)
+
+
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -123,7 +162,7 @@ WITH d AS (
             / (sum(w) OVER () - sum(w) OVER (ORDER BY cap / w, i) + w) AS level
   FROM r
 ), t AS (
-  SELECT source, source_size, least(cap, coalesce(min(CASE WHEN level <= cap / w THEN level END) OVER (), 0.0) * w) AS target
+  SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, (cap / w, i)) FROM l WHERE level <= cap / w), 0.0) * w) AS target
   FROM l
 ), o AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
