@@ -129,5 +129,10 @@ def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", t
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """docs with column shard, placed by doc_id; a column of this name is replaced. Nothing is shuffled."""
+    return place(docs.drop("shard"), "doc_id", even_tree(shards))
+
+
 def op4_shard_tree(spark, sf_dir: str) -> DataFrame:
     return shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
