@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from lexweave.llm import bytestext as bt
 from lexweave.storage import materialize
 
-SHARD_BYTES = 8 << 20
-BUCKET_BYTES = 4 << 20
+SHARD_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 #: A shard's number is its task's number and its own in it; a row's is the shard's and its place.
 ROW_BITS = 20
 MOST_ROWS = 1 << (ROW_BITS - 1)
@@ -160,6 +160,8 @@ def finish(shards: DataFrame, answers: DataFrame, apply: Callable[[Shard, dict[i
 
 def split_sorted(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """Sorted 64-bit hashes by bucket, their leading bits."""
+    if not len(values):
+        return
     shift = np.uint64(64 - max(1, (buckets - 1).bit_length()))
     own = (values >> shift).astype(np.int64)
     cut = np.flatnonzero(np.diff(own, prepend=-1))

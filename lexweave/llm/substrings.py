@@ -89,7 +89,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> Stretches:
         at = (sliding_min((h & ~mask) | i.astype(np.uint64), SPAN)[idx] & mask).astype(np.int64)
         turn = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (idx[1:] != idx[:-1] + 1)]))
         p0, p1, at = idx[turn], idx[np.append(turn[1:], len(idx)) - 1], at[turn]
-        parts.append((p0 + base, p1 + base, at + base, h[at], np.searchsorted(own, p0, "right") - 1 + lo))
+        # least hashes are small: spread them again, for buckets by leading bits
+        parts.append((p0 + base, p1 + base, at + base, bt.mix(h[at]), np.searchsorted(own, p0, "right") - 1 + lo))
     if not parts:
         z = np.zeros(0, np.int64)
         return Stretches(z, z, z, np.zeros(0, np.uint64), z)
@@ -308,19 +309,22 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 bits[a:z] = np.unpackbits(np.frombuffer(sh.decompress(replies[b + _SECOND]), np.uint8), count=z - a).astype(bool)
         n = len(s.data)
         hit = np.zeros(n, bool)
-        w = windows[g.stretch]
-        mine = np.repeat(np.arange(len(w)), w)
-        k = np.arange(w.sum()) - np.repeat(np.concatenate([[0], np.cumsum(w)[:-1]]), w) if len(w) else np.zeros(0, np.int64)
-        hit[x.p0[g.stretch][mine] + k] = g.later[mine] | bits[before[g.of[mine]] + k]
-        c = np.concatenate([[0], np.cumsum(hit)])
-        gone = c[1:] > c[np.maximum(np.arange(n) - MATCH + 1, 0)]
-        c = np.concatenate([[0], np.cumsum(gone)])
+        w, to, later = windows[g.stretch], before[g.of], g.later
+        for a in range(0, len(w), 1 << 16):  # in parts, to bound memory
+            z = slice(a, a + (1 << 16))
+            mine = np.repeat(np.arange(len(w[z])), w[z])
+            k = np.arange(len(mine)) - np.repeat(np.cumsum(w[z]) - w[z], w[z])
+            hit[x.p0[g.stretch][z][mine] + k] = later[z][mine] | bits[to[z][mine] + k]
+        c = np.zeros(n + 1, np.int32)
+        np.cumsum(hit, out=c[1:])
+        gone = c[1:] > np.concatenate([np.zeros(min(n, MATCH - 1), np.int32), c[: max(0, n - MATCH + 1)]])
+        np.cumsum(gone, out=c[1:])
         n_removed = c[s.offsets[1:]] - c[s.offsets[:-1]]
         edge = gone.copy()
         edge[1:] &= ~gone[:-1]
         heads = s.offsets[:-1][s.offsets[1:] > s.offsets[:-1]]
         edge[heads] = gone[heads]
-        c = np.concatenate([[0], np.cumsum(edge)])
+        np.cumsum(edge, out=c[1:])
         n_spans = c[s.offsets[1:]] - c[s.offsets[:-1]]
         shas, kept = [], []
         for r in range(len(s.ids)):
