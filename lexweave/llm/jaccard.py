@@ -1,9 +1,10 @@
 """N-gram Jaccard join with count-vector R-trees.
 
 A document's set is the hashes of its distinct word shingles. Two sets link at
-Jaccard 3/4 or more. Equal sets are first made one. Hashes are dealt to GROUPS
-groups; a set's point holds how many of its hashes each group has. Two sets
-share at most the sum over the groups of the smaller count, and two nodes of
+Jaccard 3/4 or more. Equal sets are first made one. Hashes are dealt to groups,
+more for larger sets, so that a group has a few; a set's point holds how many of
+its hashes each group has. Points of unequal length are compared by folding the
+longer one. Two sets share at most the sum over the groups of the smaller count, and two nodes of
 an R-tree at most the sum of the smaller of their upper bounds: where that
 falls short of what a link needs, the pair, or both subtrees, are left out.
 Survivors are verified on the sets.
@@ -40,7 +41,9 @@ from lexweave.llm.components import components
 from lexweave.storage import materialize
 
 N = 5
-GROUPS = 32
+#: A set of `size` hashes has the power of two of groups that is size / PER_GROUP or just above, MOST_GROUPS at most.
+PER_GROUP = 4
+MOST_GROUPS = 4096
 LEAF = 16
 #: Sets of one verification group.
 CHUNK = 2000
@@ -186,13 +189,60 @@ def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray
             o = np.lexsort((h, times, k))
             h = h[o]
     keep = inner < np.repeat(take, size)
-    return h[keep], k[keep]
+    # least hashes are small: spread them again, for buckets by leading bits
+    return bt.mix(h[keep]), k[keep]
 
 
-def count_vectors(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+def group_bits(sizes: np.ndarray) -> np.ndarray:
+    """Log 2 of the number of groups of sets of these sizes."""
+    return np.ceil(np.log2(np.clip(sizes / PER_GROUP, 8, MOST_GROUPS))).astype(np.int64)
+
+
+def count_vectors(values: np.ndarray, first: np.ndarray, groups: int) -> np.ndarray:
+    """(sets, groups) counts of sets given on end."""
     n = len(first) - 1
     row = np.repeat(np.arange(n), np.diff(first))
-    return np.bincount(row * GROUPS + (values % np.uint64(GROUPS)).astype(np.int64), minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
+    return np.bincount(row * groups + (values % np.uint64(groups)).astype(np.int64), minlength=n * groups).reshape(n, groups).astype(np.int32)
+
+
+class Points:
+    """Count vectors of sets by number of groups; fold: as if there were half as many."""
+
+    def __init__(self, sizes: np.ndarray, flat: np.ndarray) -> None:
+        """flat: all vectors on end."""
+        self.sizes, self.bits = sizes, group_bits(sizes)
+        first = np.concatenate([[0], np.cumsum(np.int64(1) << self.bits)])
+        self.at = np.zeros(len(sizes), np.int64)
+        self.by: dict[int, np.ndarray] = {}
+        for b in np.unique(self.bits).tolist():
+            own = np.flatnonzero(self.bits == b)
+            self.at[own] = np.arange(len(own))
+            self.by[b] = flat[first[own][:, None] + np.arange(1 << b)]
+        self.folded = {b: x[:, : x.shape[1] // 2] + x[:, x.shape[1] // 2 :] for b, x in self.by.items()}
+
+    def of(self, sets: np.ndarray, bits: int) -> np.ndarray:
+        """Vectors of sets that have this number of groups, or twice as many."""
+        own = self.bits[sets] == bits
+        out = np.empty((len(sets), 1 << bits), np.int32)
+        if own.any():
+            out[own] = self.by[bits][self.at[sets[own]]]
+        if not own.all():
+            out[~own] = self.folded[bits + 1][self.at[sets[~own]]]
+        return out
+
+    def linkable(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether the bound allows each pair. Sizes that differ by more than a third have no link."""
+        low = np.minimum(self.bits[p], self.bits[q])
+        ok = np.zeros(len(p), bool)
+        near = (4 * self.sizes[p] >= 3 * self.sizes[q]) & (4 * self.sizes[q] >= 3 * self.sizes[p])
+        for b in np.unique(low[near]).tolist():
+            own = np.flatnonzero(near & (low == b))
+            step = max(1, (1 << 22) >> b)
+            for lo in range(0, len(own), step):
+                i = own[lo : lo + step]
+                bound = np.minimum(self.of(p[i], b), self.of(q[i], b)).sum(1)
+                ok[i] = allowed(bound, self.sizes[p[i]] + self.sizes[q[i]])
+        return ok
 
 
 class CountTree:
@@ -235,24 +285,29 @@ class Union:
         return i != j
 
 
-def tree_join(points: np.ndarray, sizes: np.ndarray, test: Callable[[int, int], bool] | None = None, skip: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
-    """A forest over the linked pairs: those that the bound allows and test(i, j) accepts. skip: pairs that are left out."""
-    tree, union, out = CountTree(points, sizes), Union(len(sizes)), []
+def tree_join(points: np.ndarray, sizes: np.ndarray, names: list[int], union: Union, test: Callable[[int, int], bool] | None = None, skip: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs that the bound allows and test(i, j) accepts and that join two parts of union; the union gets them.
+
+    names: the points' numbers in union. skip: pairs of two of these points are left out.
+    """
+    tree, out = CountTree(points, sizes), []
     top = len(tree.start) - 1
 
     def one(level: int, k: int) -> int | None:
         """The root of all members if they are connected."""
         members = tree.order[tree.start[level][k] : tree.start[level][k + 1]]
-        root = union.find(int(members[0]))
-        return root if all(union.find(int(m)) == root for m in members[1:]) else None
+        root = union.find(names[members[0]])
+        return root if all(union.find(names[m]) == root for m in members[1:].tolist()) else None
 
     def pairs(a: np.ndarray, b: np.ndarray, same: bool) -> None:
         bound = np.minimum(points[a][:, None, :], points[b][None, :, :]).sum(2)
         ok = allowed(bound, sizes[a][:, None] + sizes[b][None, :])
+        if skip is not None:
+            ok &= ~(skip[a][:, None] & skip[b][None, :])
         for i, j in np.argwhere(np.triu(ok, 1) if same else ok).tolist():
             p, q = int(a[i]), int(b[j])
-            if union.find(p) != union.find(q) and not (skip and skip(p, q)) and (test is None or test(p, q)):
-                union.join(p, q)
+            if union.find(names[p]) != union.find(names[q]) and (test is None or test(p, q)):
+                union.join(names[p], names[q])
                 out.append((p, q))
 
     def cross(level: int, i: int, j: int) -> None:
@@ -293,39 +348,43 @@ def ask_points(x: Sets, rows: np.ndarray, h: np.ndarray, k: np.ndarray, nodes: n
     """Each bucket gets hashes, and the nodes, sizes and points of their sets."""
     order = np.argsort(h)
     h, k = h[order], k[order]
-    used = np.unique(k)
-    first = np.concatenate([[0], np.cumsum(x.sizes[rows[used]])])
-    points = count_vectors(np.concatenate([x.own(r) for r in rows[used]]) if len(used) else np.zeros(0, np.uint64), first)
-    wide = "<u2" if not points.size or points.max() < 1 << 16 else "<u4"
+    points = {}
     for b, own in sh.split_sorted(h, buckets):
         sets, at = np.unique(k[own], return_inverse=True)
-        place = np.searchsorted(used, sets)
-        raw = [len(at).to_bytes(4, "little"), len(sets).to_bytes(4, "little"), b"\2" if wide == "<u2" else b"\4"]
-        body = h[own].tobytes() + at.astype("<i4").tobytes() + nodes[rows[sets]].astype("<i8").tobytes() + x.sizes[rows[sets]].astype("<i4").tobytes() + points[place].astype(wide).T.tobytes()
-        yield b, b"".join(raw) + sh.compress(body)
+        size = x.sizes[rows[sets]]
+        for i in sets.tolist():
+            if i not in points:
+                values = x.own(rows[i])
+                groups = 1 << int(group_bits(np.array([len(values)]))[0])
+                points[i] = np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+        flat = np.concatenate([points[i] for i in sets.tolist()])
+        wide = 1 if flat.max() < 1 << 8 else 4
+        raw = len(at).to_bytes(4, "little") + len(sets).to_bytes(4, "little") + bytes([wide])
+        body = h[own].tobytes() + at.astype("<i4").tobytes() + nodes[rows[sets]].astype("<i8").tobytes() + size.astype("<i4").tobytes() + flat.astype(f"<u{wide}").tobytes()
+        yield b, raw + sh.compress(body)
 
 
 def candidate_edges(asked: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Forest edges (nodes) of a bucket's hashes."""
-    hs, ks, nodes, sizes, points, base = [], [], [], [], [], 0
+    hs, ks, nodes, sizes, flat, base = [], [], [], [], [], 0
     for p in asked:
         m, n, wide = int.from_bytes(p[:4], "little"), int.from_bytes(p[4:8], "little"), p[8]
-        raw = np.frombuffer(sh.decompress(p[9:]), np.uint8)
-        hs.append(raw[: 8 * m].view("<u8"))
-        ks.append(raw[8 * m : 12 * m].view("<i4").astype(np.int64) + base)
-        rest = raw[12 * m :]
-        nodes.append(np.frombuffer(rest[: 8 * n].tobytes(), "<i8"))
-        sizes.append(np.frombuffer(rest[8 * n : 12 * n].tobytes(), "<i4").astype(np.int64))
-        points.append(np.frombuffer(rest[12 * n :].tobytes(), "<u2" if wide == 2 else "<u4").reshape(GROUPS, n).T.astype(np.int32))
+        raw = sh.decompress(p[9:])
+        hs.append(np.frombuffer(raw, "<u8", m))
+        ks.append(np.frombuffer(raw, "<i4", m, 8 * m).astype(np.int64) + base)
+        nodes.append(np.frombuffer(raw, "<i8", n, 12 * m))
+        sizes.append(np.frombuffer(raw, "<i4", n, 12 * m + 8 * n).astype(np.int64))
+        flat.append(np.frombuffer(raw, f"<u{wide}", -1, 12 * m + 12 * n).astype(np.int32))
         base += n
     h, k = np.concatenate(hs), np.concatenate(ks)
-    nodes, sizes, points = np.concatenate(nodes), np.concatenate(sizes), np.concatenate(points)
+    nodes, sizes = np.concatenate(nodes), np.concatenate(sizes)
+    points = Points(sizes, np.concatenate(flat))
     # by size within a hash, as a tree of one leaf has it
     order = np.lexsort((sizes[k], h))
     h, k = h[order], k[order]
     cut = np.append(np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])), len(h))
     length = np.diff(cut)
-    a, b = [], []
+    p, q = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     small = np.flatnonzero((length > 1) & (length <= LEAF))
     for gap in range(1, LEAF):
         own = small[length[small] > gap]
@@ -333,39 +392,32 @@ def candidate_edges(asked: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             break
         # pairs of members `gap` apart
         many = length[own] - gap
-        i = np.repeat(cut[own] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        p, q = k[i], k[i + gap]
-        near = 4 * sizes[p] >= 3 * sizes[q]
-        a.append(p[near])
-        b.append(q[near])
-    if a:
-        p, q = np.concatenate(a), np.concatenate(b)
-        key = np.unique(np.minimum(p, q) * np.int64(base) + np.maximum(p, q))
-        p, q = key // base, key % base
-        ok = np.zeros(len(p), bool)
-        for lo in range(0, len(p), 1 << 16):
-            u, v = p[lo : lo + (1 << 16)], q[lo : lo + (1 << 16)]
-            ok[lo : lo + (1 << 16)] = allowed(np.minimum(points[u], points[v]).sum(1), sizes[u] + sizes[v])
-        a, b = [p[ok]], [q[ok]]
-    seen: set[bytes] = set()
+        i = np.repeat(cut[own] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        near = 4 * sizes[k[i]] >= 3 * sizes[k[i + gap]]
+        p.append(k[i][near])
+        q.append(k[i + gap][near])
+    p, q = np.concatenate(p), np.concatenate(q)
+    key = np.unique(np.minimum(p, q) * np.int64(max(base, 1)) + np.maximum(p, q))
+    p, q = key // max(base, 1), key % max(base, 1)
+    ok = points.linkable(p, q)
+    union, a, b = Union(base), [], []
+    for u, v in zip(p[ok].tolist(), q[ok].tolist(), strict=True):
+        if union.join(u, v):
+            a.append(u)
+            b.append(v)
     for g in np.flatnonzero(length > LEAF):
         own = np.unique(k[cut[g] : cut[g + 1]])
-        mark = own.tobytes()
-        if mark not in seen:  # the hashes of one passage have the same sets
-            seen.add(mark)
-            edges = tree_join(points[own], sizes[own])
-            if edges:
-                e = own[np.array(edges)]
-                a.append(e[:, 0])
-                b.append(e[:, 1])
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    p, q = np.concatenate(a), np.concatenate(b)
-    # a forest is enough
-    union, keep = Union(base), np.zeros(len(p), bool)
-    for i, (u, v) in enumerate(zip(p.tolist(), q.tolist(), strict=True)):
-        keep[i] = union.join(u, v)
-    return nodes[p[keep]], nodes[q[keep]]
+        root = union.find(int(own[0]))
+        if all(union.find(x) == root for x in own[1:].tolist()):
+            continue
+        bits = points.bits[own]
+        for low in np.unique(bits).tolist():
+            # sets of this number of groups among themselves, and with those of twice as many, folded
+            two = own[(bits == low) | (bits == low + 1)]
+            for i, j in tree_join(points.of(two, low), sizes[two], two.tolist(), union, skip=points.bits[two] == low + 1):
+                a.append(int(two[i]))
+                b.append(int(two[j]))
+    return nodes[np.array(a, np.int64)], nodes[np.array(b, np.int64)]
 
 
 def verified_links(part: np.ndarray, side: np.ndarray, nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -380,15 +432,16 @@ def verified_links(part: np.ndarray, side: np.ndarray, nodes: np.ndarray, sets:
             continue
         mine = [sets[i] for i in own]
         sizes = np.array([len(s) for s in mine])
-        points = count_vectors(np.concatenate(mine), np.concatenate([[0], np.cumsum(sizes)]))
+        groups = 1 << int(group_bits(sizes).max())
+        points = count_vectors(np.concatenate(mine), np.concatenate([[0], np.cumsum(sizes)]), groups)
 
         def test(i: int, j: int, mine=mine) -> bool:
             a, b = (mine[i], mine[j]) if len(mine[i]) <= len(mine[j]) else (mine[j], mine[i])
             at = np.minimum(np.searchsorted(b, a), len(b) - 1)
             return bool(allowed(int((b[at] == a).sum()), len(a) + len(b)))
 
-        both = side[own]
-        edges = tree_join(points, sizes, test, (lambda i, j, both=both: both[i] == 1 and both[j] == 1) if both.any() else None)
+        both = side[own] == 1
+        edges = tree_join(points, sizes, list(range(len(own))), Union(len(own)), test, both if both.any() else None)
         out += [(int(nodes[own[i]]), int(nodes[own[j]])) for i, j in edges]
     return out
 
