@@ -24,7 +24,7 @@ from lexweave.storage import materialize
 
 GAP = 2
 #: Share of a template's grams that a merged span must hold.
-LEAST_SHARE = 0.6
+LEAST_SHARE = 0.75
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
