@@ -10,9 +10,9 @@ COORDS = "array<struct<contenttext: string, xmin: int, ymin: int, xmax: int, yma
 
 def canvases(manifest_json: DataFrame) -> DataFrame:
     """(pid, frame, page_width, page_height, image_url) from (pid, json): frames count from 1."""
-    kind = "struct<sequences: array<struct<canvases: array<struct<width: int, height: int, images: array<struct<resource: struct<`@id`: string>>>>>>>"
-    x = manifest_json.select("pid", F.from_json("json", kind).alias("m")).select("pid", F.posexplode(F.col("m.sequences")[0]["canvases"]).alias("i", "c"))
-    return x.select("pid", (F.col("i") + 1).alias("frame"), F.col("c.width").alias("page_width"), F.col("c.height").alias("page_height"), F.col("c.images")[0]["resource"]["@id"].alias("image_url"))
+    kind = "struct<sequences: array<struct<canvases: array<struct<width: int, height: int, images: array<struct<resource: struct<`@id`: string>>>>>>>>"
+    x = manifest_json.select("pid", F.from_json("json", kind).alias("m")).select("pid", F.posexplode(F.get("m.sequences", F.lit(0))["canvases"]).alias("i", "c"))
+    return x.select("pid", (F.col("i") + 1).alias("frame"), F.col("c.width").alias("page_width"), F.col("c.height").alias("page_height"), F.get("c.images", F.lit(0))["resource"]["@id"].alias("image_url"))
 
 
 def is_public(item_json: Column) -> Column:
@@ -37,19 +37,14 @@ def full_text_lines(pages: DataFrame, canvas: DataFrame) -> DataFrame:
 
 def unescape(c: Column) -> Column:
     """Named and numbered entities as characters; & last."""
-    def number(hexa: bool):
-        pattern = "&#[xX]([0-9a-fA-F]+);" if hexa else "&#([0-9]+);"
-        digits = F.regexp_extract_all(c, F.lit(pattern), F.lit(1))
-        return digits
-
     named = {"&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">"}
-    out = c
-    for hexa in (False, True):
-        head = "&#x" if hexa else "&#"
-        digits = F.array_distinct(number(hexa))
-        to_hex = (lambda d: d) if hexa else (lambda d: F.hex(d.cast("long")))
-        char = lambda d, f=to_hex: F.decode(F.unhex(F.lpad(f(d), 8, "0")), "UTF-32")
-        out = F.aggregate(digits, out, lambda s, d, head=head, char=char: F.replace(s, F.concat(F.lit(head), d, F.lit(";")), char(d)))
+
+    def numbers(text: Column, pattern: str, head: str, to_hex) -> Column:
+        put = lambda s, d: F.replace(s, F.concat(F.lit(head), d, F.lit(";")), F.decode(F.unhex(F.lpad(to_hex(d), 8, "0")), "UTF-32"))
+        return F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(1))), text, put)
+
+    out = numbers(c, "&#x([0-9a-fA-F]+);", "&#x", lambda d: d)
+    out = numbers(out, "&#([0-9]+);", "&#", lambda d: F.hex(d.cast("long")))
     for name, to in named.items():
         out = F.replace(out, F.lit(name), F.lit(to))
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
