@@ -11,6 +11,7 @@ values are summed up before the shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.llm import bytestext as bt
-from lexweave.storage import materialize
+from lexweave.storage import shared_dir
 
 SHARD_BYTES = 4 << 20
 BUCKET_BYTES = 2 << 20
@@ -84,7 +85,16 @@ def pack(docs: DataFrame) -> DataFrame:
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
-    return materialize(rows, "shards", "uncompressed")
+    return _bucketed(rows)
+
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """Shards in a written table that is hashed by shard: joins with answers leave the texts where they are."""
+    spark, name = rows.sparkSession, f"lexweave_shards_{uuid.uuid4().hex}"
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}").option("compression", "uncompressed")
+    writer.bucketBy(buckets, "shard").saveAsTable(name)
+    return spark.table(name)
 
 
 def unpack(batch: pa.RecordBatch) -> Iterator[Shard]:
@@ -139,7 +149,7 @@ def with_answers(shards: DataFrame, answers: DataFrame) -> DataFrame:
     """Shards with their replies, as lists of buckets and replies. A shard's replies are a small part of its size."""
     own = answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "reply")).alias("replies"))
     own = own.select("shard", F.col("replies.bucket").alias("buckets"), F.col("replies.reply").alias("replies"))
-    return shards.join(own, "shard", "left")
+    return shards.join(own.hint("shuffle_hash"), "shard", "left")
 
 
 def _by_bucket(one: pa.RecordBatch) -> dict[int, bytes]:
