@@ -14,8 +14,9 @@ share one of the first size - ceil(3/4 size) + 1 of their hashes, in any order
 that is the same for all. The order puts hashes of many documents last.
 
 1. Shards ask which of their sets are equal to others', and report frequent hashes.
-2. They ask which first hashes of distinct sets stand in two sets or more.
-3. Points of those sets go to the buckets of their repeated first hashes. For each
+2. They ask which first hashes of distinct sets stand in two sets or more whose
+   sizes, and places of the hash in the order, leave room for a link.
+3. Points of those sets go to the buckets of these first hashes. For each
    hash an R-tree over its sets finds the pairs that the bound allows; those
    within a part that is already connected are skipped, so that a bucket's
    edges are a forest and a large group isn't expanded into pairs.
@@ -175,8 +176,8 @@ def representatives(x: Sets, replies: dict[int, bytes], buckets: int) -> tuple[n
     return out[:, 0], out[:, 1]
 
 
-def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the rows `of`, the hashes that a linked set must share one of, and each one's place in `of`."""
+def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the rows `of`, the hashes that a linked set must share one of, each one's place in `of`, and how many of the set's hashes come before it."""
     size = x.sizes[of]
     take = size - (3 * size + 3) // 4 + 1
     k = np.repeat(np.arange(len(of)), size)
@@ -190,7 +191,74 @@ def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray
             h = h[o]
     keep = inner < np.repeat(take, size)
     # least hashes are small: spread them again, for buckets by leading bits
-    return bt.mix(h[keep]), k[keep]
+    return bt.mix(h[keep]), k[keep], inner[keep]
+
+
+#: Sizes are sent as powers of STEP, and what of a set is left from a hash on in parts of PARTS; ANY: of several sets.
+STEP = 1.05
+PARTS = 240
+ANY = 255
+#: Sets of one hash that are compared pair by pair; more of them all count as linkable.
+MOST_COMPARED = 64
+
+
+def room_codes(sizes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A byte for the size, rounded down, and one for the share of the set from this hash on, rounded up."""
+    size = np.minimum(np.floor(np.log(sizes) / np.log(STEP)), ANY - 1).astype(np.uint8)
+    return size, np.ceil(PARTS * (sizes - before) / sizes).astype(np.uint8)
+
+
+def roomy(size_a: np.ndarray, room_a: np.ndarray, size_b: np.ndarray, room_b: np.ndarray) -> np.ndarray:
+    """Whether two sets that first meet at this hash may link: what is left of either from it on bounds what they share.
+
+    The first hash, in the common order, of all that two sets share bounds it so; a link passes at that hash.
+    """
+    wide = (size_a >= ANY - 1) | (size_b >= ANY - 1)
+    low_a, low_b = STEP ** size_a.astype(float), STEP ** size_b.astype(float)
+    left = np.minimum(low_a * STEP * room_a, low_b * STEP * room_b) / PARTS
+    return wide | (7 * left * (1 + 1e-9) >= 3 * (low_a + low_b))
+
+
+def ask_room(h: np.ndarray, sizes: np.ndarray, before: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """By bucket: hashes, five bytes each, with the bytes of room_codes; a hash of several sets of the shard is sent once, as one of any room."""
+    keys, first, times = np.unique(h, return_index=True, return_counts=True)
+    size, room = room_codes(sizes[first], before[first])
+    size[times > 1] = room[times > 1] = ANY
+    drop = np.uint64(64 - 8 * sh.HASH_BYTES - (buckets - 1).bit_length())
+    for b, own in sh.split_sorted(keys, buckets):
+        low = (keys[own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : sh.HASH_BYTES]
+        yield b, np.concatenate([low, size[own, None], room[own, None]], axis=1).tobytes()
+
+
+def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+    """A bit for each hash, whether it has several sets in its shard or meets a set elsewhere that it may link to."""
+    width = sh.HASH_BYTES + 2
+    rows = [np.frombuffer(p, np.uint8).reshape(-1, width) for _, p in asked]
+    every = np.concatenate(rows)
+    wide = np.zeros((len(every), 8), np.uint8)
+    wide[:, : sh.HASH_BYTES] = every[:, : sh.HASH_BYTES]
+    h, size, room = wide.view("<u8")[:, 0], every[:, -2], every[:, -1]
+    order = np.argsort(h, kind="stable")
+    cut = np.append(np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])), len(h))
+    length = np.diff(cut)
+    hit = room == ANY
+    many = np.repeat(length > MOST_COMPARED, length)
+    hit[order[many]] = True
+    few = np.flatnonzero((length > 1) & (length <= MOST_COMPARED))
+    for gap in range(1, MOST_COMPARED):
+        own = few[length[few] > gap]
+        if not len(own):
+            break
+        n = length[own] - gap
+        i = np.repeat(cut[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        p, q = order[i], order[i + gap]
+        ok = roomy(size[p], room[p], size[q], room[q])
+        hit[p[ok]] = hit[q[ok]] = True
+    at = 0
+    for (shard, _), r in zip(asked, rows, strict=True):
+        bits = hit[at : at + len(r)]
+        at += len(r)
+        yield shard, np.packbits(bits).tobytes() if bits.any() else b""
 
 
 def group_bits(sizes: np.ndarray) -> np.ndarray:
@@ -465,7 +533,7 @@ def _sets_of(packed: DataFrame, members: DataFrame, n: int) -> DataFrame:
                         ["part", "side", "node", "group", "hashes"],
                     )
 
-    return packed.join(listed, "shard").mapInArrow(run, "part long, side long, node long, group long, hashes binary")
+    return packed.join(listed.hint("shuffle_hash"), "shard").mapInArrow(run, "part long, side long, node long, group long, hashes binary")
 
 
 def _verify(packed: DataFrame, members: DataFrame, n: int) -> DataFrame:
@@ -521,7 +589,7 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
     are ignored; an empty table gives an empty result.
     """
     packed = sh.pack(docs)
-    few, some, many = sh.bucket_count(packed, 0.02), sh.bucket_count(packed, 0.25), sh.bucket_count(packed, 0.8)
+    few, some, many = sh.bucket_count(packed, 0.02), sh.bucket_count(packed, 0.35), sh.bucket_count(packed, 0.8)
     sets = materialize(sh.answer(sh.ask(packed, lambda s: ask_sets(s, n, few)), answer_sets), "sets")
     # at most HOT hashes
     hot_rows = sets.where("shard = -1").collect()
@@ -537,15 +605,14 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
         return x, rows, *first_hashes(x, rows, *shared.value)
 
     def ask_repeated(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
-        _, _, h, k = firsts(s, replies)
-        keys, times = np.unique(h, return_counts=True)
-        yield from sh.hash_question(keys, times > 1, some)
+        x, rows, h, k, before = firsts(s, replies)
+        yield from ask_room(h, x.sizes[rows[k]], before, some)
 
-    repeated = materialize(sh.answer(sh.ask(packed, ask_repeated, sets), sh.repeated_answer), "repeated")
+    repeated = materialize(sh.answer(sh.ask(packed, ask_repeated, sets), answer_room), "repeated")
     both = sets.unionByName(repeated.withColumn("bucket", (F.col("bucket") + _SECOND).cast("int")))
 
     def ask_pairs(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
-        x, rows, h, k = firsts(s, replies)
+        x, rows, h, k, _ = firsts(s, replies)
         keys, back = np.unique(h, return_inverse=True)
         again = sh.repeated_bits(keys, replies, some, _SECOND)[back]
         yield from ask_points(x, rows, h[again], k[again], s.rows(), many)
