@@ -9,6 +9,7 @@ from lexweave.storage import materialize
 
 #: Rounds; each about halves the longest path, so no real input comes near.
 MOST_ROUNDS = 60
+EDGES_PER_TASK = 200_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -27,13 +28,15 @@ def components(edges: DataFrame) -> DataFrame:
     cur = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = _state(cur)
     for _ in range(MOST_ROUNDS):
+        # a task for each EDGES_PER_TASK edges: few edges aren't dealt to hundreds of files
+        tasks = -(-state[0] // EDGES_PER_TASK) + 1
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        cur = materialize(small, "edges")
+        cur = materialize(small.coalesce(tasks), "edges")
         new = _state(cur)
         if new == state:
             break

@@ -198,8 +198,10 @@ def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray
 STEP = 1.05
 PARTS = 240
 ANY = 255
-#: Sets of one hash that are compared pair by pair; more of them all count as linkable.
-MOST_COMPARED = 64
+#: Sets of one shard that have a hash and are sent apart; more of them are sent as one of any room.
+MOST_APART = 8
+#: Sizes of sets that link differ by this many powers of STEP at most.
+REACH = int(np.ceil(np.log(4 / 3) / np.log(STEP))) + 1
 
 
 def room_codes(sizes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,40 +222,86 @@ def roomy(size_a: np.ndarray, room_a: np.ndarray, size_b: np.ndarray, room_b: np
 
 
 def ask_room(h: np.ndarray, sizes: np.ndarray, before: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """By bucket: hashes, five bytes each, with the bytes of room_codes; a hash of several sets of the shard is sent once, as one of any room."""
-    keys, first, times = np.unique(h, return_index=True, return_counts=True)
-    size, room = room_codes(sizes[first], before[first])
-    size[times > 1] = room[times > 1] = ANY
+    """By bucket: hashes in order, five bytes each, with the bytes of room_codes."""
+    order, many = sent_rows(h)
+    size, room = room_codes(sizes[order], before[order])
+    size[many] = room[many] = ANY
     drop = np.uint64(64 - 8 * sh.HASH_BYTES - (buckets - 1).bit_length())
-    for b, own in sh.split_sorted(keys, buckets):
-        low = (keys[own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : sh.HASH_BYTES]
+    for b, own in sh.split_sorted(h[order], buckets):
+        low = (h[order][own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : sh.HASH_BYTES]
         yield b, np.concatenate([low, size[own, None], room[own, None]], axis=1).tobytes()
 
 
+def sent_rows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the hashes that are sent, in order of the hash, and which of them stand for many."""
+    order = np.argsort(h, kind="stable")
+    cut = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
+    length = np.diff(np.append(cut, len(h)))
+    many = np.repeat(length > MOST_APART, length)
+    head = np.zeros(len(h), bool)
+    head[cut] = True
+    keep = ~many | head
+    return order[keep], many[keep]
+
+
+def answers_for(h: np.ndarray, replies: dict[int, bytes], buckets: int, offset: int) -> np.ndarray:
+    """The answer for each hash, in the order given."""
+    order, many = sent_rows(h)
+    bits = np.zeros(len(order), bool)
+    for b, own in sh.split_sorted(h[order], buckets):
+        if b + offset in replies:
+            bits[own] = np.unpackbits(np.frombuffer(replies[b + offset], np.uint8), count=own.stop - own.start).astype(bool)
+    out = np.zeros(len(h), bool)
+    out[order] = bits
+    # those that weren't sent have the answer of the one that stands for them
+    keys, back = np.unique(h, return_inverse=True)
+    some = np.zeros(len(keys), bool)
+    some[back[order[many]]] = bits[many]
+    return out | some[back]
+
+
 def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    """A bit for each hash, whether it has several sets in its shard or meets a set elsewhere that it may link to."""
+    """A bit for each row, whether another row of its hash may link to it.
+
+    Of the rows of a hash and size only the one with the most room matters, so
+    that a row looks at the sizes within reach and not at all other rows.
+    """
     width = sh.HASH_BYTES + 2
     rows = [np.frombuffer(p, np.uint8).reshape(-1, width) for _, p in asked]
     every = np.concatenate(rows)
     wide = np.zeros((len(every), 8), np.uint8)
     wide[:, : sh.HASH_BYTES] = every[:, : sh.HASH_BYTES]
-    h, size, room = wide.view("<u8")[:, 0], every[:, -2], every[:, -1]
+    h = wide.view("<u8")[:, 0]
+    hit = every[:, -1] == ANY  # several sets of one shard
     order = np.argsort(h, kind="stable")
-    cut = np.append(np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])), len(h))
-    length = np.diff(cut)
-    hit = room == ANY
-    many = np.repeat(length > MOST_COMPARED, length)
-    hit[order[many]] = True
-    few = np.flatnonzero((length > 1) & (length <= MOST_COMPARED))
-    for gap in range(1, MOST_COMPARED):
-        own = few[length[few] > gap]
-        if not len(own):
-            break
-        n = length[own] - gap
-        i = np.repeat(cut[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        p, q = order[i], order[i + gap]
-        ok = roomy(size[p], room[p], size[q], room[q])
-        hit[p[ok]] = hit[q[ok]] = True
+    new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+    length = np.diff(np.append(np.flatnonzero(new), len(h)))
+    own = order[np.repeat(length > 1, length)]
+    if len(own):
+        group = np.repeat(np.arange((length > 1).sum()), length[length > 1])
+        size, room = every[own, -2].astype(np.int64), every[own, -1].astype(np.int64)
+        free = np.zeros(group[-1] + 1, bool)
+        free[group[size >= ANY - 1]] = True  # any room, or sizes beyond the code
+        # the most room of each (hash, size), and the second most
+        o = np.lexsort((-room, size, group))
+        cell = group[o] * 256 + size[o]
+        top = np.concatenate([[True], cell[1:] != cell[:-1]])
+        cells, at = cell[top], np.flatnonzero(top)
+        best, holder = room[o][at], o[at]
+        second = np.where(np.diff(np.append(at, len(o))) > 1, room[o][np.minimum(at + 1, len(o) - 1)], -1)
+        ok = free[group]
+        for d in range(-REACH, REACH + 1):
+            other = size + d
+            want = group * 256 + other
+            i = np.minimum(np.searchsorted(cells, want), len(cells) - 1)
+            there = (cells[i] == want) & (other >= 0) & (other < ANY - 1)
+            most = best[i]
+            if d == 0:
+                mine = holder[i] == np.arange(len(own))
+                most = np.where(mine, second[i], most)
+            there &= most >= 0
+            ok |= there & roomy(size, room, np.maximum(other, 0), most)
+        hit[own] |= ok
     at = 0
     for (shard, _), r in zip(asked, rows, strict=True):
         bits = hit[at : at + len(r)]
@@ -613,8 +661,7 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
 
     def ask_pairs(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, rows, h, k, _ = firsts(s, replies)
-        keys, back = np.unique(h, return_inverse=True)
-        again = sh.repeated_bits(keys, replies, some, _SECOND)[back]
+        again = answers_for(h, replies, some, _SECOND)
         yield from ask_points(x, rows, h[again], k[again], s.rows(), many)
 
     def edges(table: pa.Table) -> pa.Table:

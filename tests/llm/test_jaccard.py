@@ -92,3 +92,38 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_first_hashes_with_room_are_found_exactly():
+    r = np.random.default_rng(1)
+    for _ in range(20):
+        h = r.integers(0, 6, 60).astype(np.uint64) << np.uint64(58)
+        sizes = r.integers(20, 400, 60)
+        before = (sizes * r.random(60) * 0.25).astype(int)
+        size, room = jc.room_codes(sizes, before)
+        parts = np.array_split(np.arange(60), 12)
+        asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], 1))) for i, q in enumerate(parts)]
+        replies = dict(jc.answer_room(0, asked))
+        for i, q in enumerate(parts):
+            got = jc.answers_for(h[q], {jc._SECOND: replies[i]} if replies[i] else {}, 1, jc._SECOND)
+            want = [any(b != a and h[b] == h[a] and jc.roomy(size[[a]], room[[a]], size[[b]], room[[b]])[0] for b in range(60)) for a in q]
+            assert got.tolist() == want
+
+
+def test_no_link_lacks_room():
+    r = np.random.default_rng(2)
+    for _ in range(3000):
+        a, b = r.integers(1, 600, 2)
+        left = r.integers(1, min(a, b) + 1)  # hashes that both may share, from their first common one on
+        if 7 * left >= 3 * (a + b):
+            before = np.array([r.integers(0, a - left + 1), r.integers(0, b - left + 1)])
+            size, room = jc.room_codes(np.array([a, b]), before)
+            assert jc.roomy(size[:1], room[:1], size[1:], room[1:])[0]
+
+
+def test_many_sets_of_one_shard_with_a_hash():
+    h = np.full(30, 5 << 60, np.uint64)
+    sizes, before = np.full(30, 100), np.arange(30)
+    asked = [(0, b"".join(p for _, p in jc.ask_room(h, sizes, before, 1)))]
+    assert len(asked[0][1]) == 7
+    assert jc.answers_for(h, {jc._SECOND: dict(jc.answer_room(0, asked))[0]}, 1, jc._SECOND).all()
