@@ -15,7 +15,8 @@ that is the same for all. The order puts hashes of many documents last.
 
 1. Shards ask which of their sets are equal to others', and report frequent hashes.
 2. They ask which first hashes of distinct sets stand in two sets or more whose
-   sizes, and places of the hash in the order, leave room for a link.
+   sizes, and places of the hash in the order, leave room for a link. The answer
+   names the group of sets; of hashes with one group a set keeps the first.
 3. Points of those sets go to the buckets of these first hashes. For each
    hash an R-tree over its sets finds the pairs that the bound allows; those
    within a part that is already connected are skipped, so that a bucket's
@@ -221,15 +222,34 @@ def roomy(size_a: np.ndarray, room_a: np.ndarray, size_b: np.ndarray, room_b: np
     return wide | (7 * left * (1 + 1e-9) >= 3 * (low_a + low_b))
 
 
-def ask_room(h: np.ndarray, sizes: np.ndarray, before: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """By bucket: hashes in order, five bytes each, with the bytes of room_codes."""
+#: Bytes of a set's name in questions, and of a group's in answers.
+NAME_BYTES = 5
+_NAME = np.uint64((1 << 8 * NAME_BYTES) - 1)
+
+
+def _five(x: np.ndarray) -> np.ndarray:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES]
+
+
+def _wide(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), 8), np.uint8)
+    out[:, :NAME_BYTES] = x
+    return out.view("<u8")[:, 0]
+
+
+def ask_room(h: np.ndarray, sizes: np.ndarray, before: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """By bucket: hashes in order, five bytes each, with the bytes of room_codes and the set's name; of many sets the sum of their names."""
     order, many = sent_rows(h)
     size, room = room_codes(sizes[order], before[order])
     size[many] = room[many] = ANY
+    names = bt.mix(nodes.astype(np.uint64)) & _NAME
+    by_hash = np.argsort(h, kind="stable")
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(names[by_hash])])
+    every = h[by_hash]
+    name = np.where(many, sums[np.searchsorted(every, h[order], "right")] - sums[np.searchsorted(every, h[order])], names[order]) & _NAME
     drop = np.uint64(64 - 8 * sh.HASH_BYTES - (buckets - 1).bit_length())
     for b, own in sh.split_sorted(h[order], buckets):
-        low = (h[order][own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : sh.HASH_BYTES]
-        yield b, np.concatenate([low, size[own, None], room[own, None]], axis=1).tobytes()
+        yield b, np.concatenate([_five(h[order][own] >> drop), size[own, None], room[own, None], _five(name[own])], axis=1).tobytes()
 
 
 def sent_rows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,41 +265,61 @@ def sent_rows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def answers_for(h: np.ndarray, replies: dict[int, bytes], buckets: int, offset: int) -> np.ndarray:
-    """The answer for each hash, in the order given."""
-    order, many = sent_rows(h)
-    bits = np.zeros(len(order), bool)
+    """The answer for each hash, in the order given: its group's name, 0 if it has no room for a link."""
+    order, _ = sent_rows(h)
+    sent = np.zeros(len(order), np.uint64)
     for b, own in sh.split_sorted(h[order], buckets):
         if b + offset in replies:
-            bits[own] = np.unpackbits(np.frombuffer(replies[b + offset], np.uint8), count=own.stop - own.start).astype(bool)
-    out = np.zeros(len(h), bool)
-    out[order] = bits
+            n = own.stop - own.start
+            raw = np.frombuffer(replies[b + offset], np.uint8)
+            hit = np.unpackbits(raw[: -(-n // 8)], count=n).astype(bool)
+            part = np.zeros(n, np.uint64)
+            part[hit] = _wide(raw[-(-n // 8) :].reshape(-1, NAME_BYTES))
+            sent[own] = part
+    out = np.zeros(len(h), np.uint64)
+    out[order] = sent
     # those that weren't sent have the answer of the one that stands for them
-    keys, back = np.unique(h, return_inverse=True)
-    some = np.zeros(len(keys), bool)
-    some[back[order[many]]] = bits[many]
-    return out | some[back]
+    _, many = sent_rows(h)
+    if many.any():
+        keys, at = h[order][many], order[many]
+        i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        out = np.where(keys[i] == h, out[at[i]], out)
+    return out
+
+
+def meetings(k: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which of a set's first hashes (k: the set, in the common order) are kept: those with room, but of those with one group the first.
+
+    All sets of a group have all its hashes, in one order, and the earlier hash
+    has more room: so they keep the same one, and every pair still meets.
+    """
+    some = np.flatnonzero(group)
+    pair = bt.mix(group[some] ^ bt.mix(k[some].astype(np.uint64)))
+    return some[np.sort(np.unique(pair, return_index=True)[1])]
 
 
 def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    """A bit for each row, whether another row of its hash may link to it.
+    """A bit for each row, whether another row of its hash may link to it, and for those the name of all sets of the hash.
 
     Of the rows of a hash and size only the one with the most room matters, so
     that a row looks at the sizes within reach and not at all other rows.
     """
-    width = sh.HASH_BYTES + 2
+    width = sh.HASH_BYTES + 2 + NAME_BYTES
     rows = [np.frombuffer(p, np.uint8).reshape(-1, width) for _, p in asked]
     every = np.concatenate(rows)
-    wide = np.zeros((len(every), 8), np.uint8)
-    wide[:, : sh.HASH_BYTES] = every[:, : sh.HASH_BYTES]
-    h = wide.view("<u8")[:, 0]
-    hit = every[:, -1] == ANY  # several sets of one shard
+    h, name = _wide(every[:, : sh.HASH_BYTES]), _wide(every[:, -NAME_BYTES:])
+    codes = every[:, sh.HASH_BYTES : sh.HASH_BYTES + 2]
+    hit = codes[:, 1] == ANY  # several sets of one shard
     order = np.argsort(h, kind="stable")
     new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
     length = np.diff(np.append(np.flatnonzero(new), len(h)))
+    together = np.zeros(len(h), np.uint64)
+    if len(h):
+        together[order] = np.repeat(bt.mix(np.add.reduceat(name[order], np.flatnonzero(new)) & _NAME) & _NAME | np.uint64(1), length)
     own = order[np.repeat(length > 1, length)]
     if len(own):
         group = np.repeat(np.arange((length > 1).sum()), length[length > 1])
-        size, room = every[own, -2].astype(np.int64), every[own, -1].astype(np.int64)
+        size, room = codes[own, 0].astype(np.int64), codes[own, 1].astype(np.int64)
         free = np.zeros(group[-1] + 1, bool)
         free[group[size >= ANY - 1]] = True  # any room, or sizes beyond the code
         # the most room of each (hash, size), and the second most
@@ -305,8 +345,8 @@ def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, b
     at = 0
     for (shard, _), r in zip(asked, rows, strict=True):
         bits = hit[at : at + len(r)]
+        yield shard, np.packbits(bits).tobytes() + _five(together[at : at + len(r)][bits]).tobytes() if bits.any() else b""
         at += len(r)
-        yield shard, np.packbits(bits).tobytes() if bits.any() else b""
 
 
 def group_bits(sizes: np.ndarray) -> np.ndarray:
@@ -637,7 +677,7 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
     are ignored; an empty table gives an empty result.
     """
     packed = sh.pack(docs)
-    few, some, many = sh.bucket_count(packed, 0.02), sh.bucket_count(packed, 0.35), sh.bucket_count(packed, 0.8)
+    few, some, many = sh.bucket_count(packed, 0.02), sh.bucket_count(packed, 0.4), sh.bucket_count(packed, 0.4)
     sets = materialize(sh.answer(sh.ask(packed, lambda s: ask_sets(s, n, few)), answer_sets), "sets")
     # at most HOT hashes
     hot_rows = sets.where("shard = -1").collect()
@@ -654,15 +694,15 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
 
     def ask_repeated(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, rows, h, k, before = firsts(s, replies)
-        yield from ask_room(h, x.sizes[rows[k]], before, some)
+        yield from ask_room(h, x.sizes[rows[k]], before, s.rows()[rows[k]], some)
 
     repeated = materialize(sh.answer(sh.ask(packed, ask_repeated, sets), answer_room), "repeated")
     both = sets.unionByName(repeated.withColumn("bucket", (F.col("bucket") + _SECOND).cast("int")))
 
     def ask_pairs(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, rows, h, k, _ = firsts(s, replies)
-        again = answers_for(h, replies, some, _SECOND)
-        yield from ask_points(x, rows, h[again], k[again], s.rows(), many)
+        kept = meetings(k, answers_for(h, replies, some, _SECOND))
+        yield from ask_points(x, rows, h[kept], k[kept], s.rows(), many)
 
     def edges(table: pa.Table) -> pa.Table:
         a, b = candidate_edges(table.column("payload").to_pylist())
