@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from lexweave.llm import components as cc
 from lexweave.llm import jaccard as jc
 from lexweave.llm.components import components
 from tests.llm.cases import documents, frame, words
@@ -87,7 +88,9 @@ def test_tree_join_skips_no_allowed_pair():
     assert all(same.setdefault(plain.find(i), union.find(i)) == union.find(i) for i in range(400)) and len(set(same.values())) == len(same)
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("per_task", [200_000, 0.001])
+def test_components_of_paths_and_stars(spark, monkeypatch, per_task):
+    monkeypatch.setattr(cc, "EDGES_PER_TASK", per_task)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (201, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200}
@@ -102,12 +105,16 @@ def test_first_hashes_with_room_are_found_exactly():
         before = (sizes * r.random(60) * 0.25).astype(int)
         size, room = jc.room_codes(sizes, before)
         parts = np.array_split(np.arange(60), 12)
-        asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], 1))) for i, q in enumerate(parts)]
-        replies = dict(jc.answer_room(0, asked))
+        asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], q, 1))) for i, q in enumerate(parts)]
+        replies, names = dict(jc.answer_room(0, asked)), {}
         for i, q in enumerate(parts):
             got = jc.answers_for(h[q], {jc._SECOND: replies[i]} if replies[i] else {}, 1, jc._SECOND)
             want = [any(b != a and h[b] == h[a] and jc.roomy(size[[a]], room[[a]], size[[b]], room[[b]])[0] for b in range(60)) for a in q]
-            assert got.tolist() == want
+            assert (got > 0).tolist() == want
+            for a, g in zip(q, got, strict=True):
+                seen = names.setdefault(int(h[a]), int(g)) if g else 0
+                assert not g or seen == g
+        assert len(set(names.values())) == len(names)
 
 
 def test_no_link_lacks_room():
@@ -124,6 +131,28 @@ def test_no_link_lacks_room():
 def test_many_sets_of_one_shard_with_a_hash():
     h = np.full(30, 5 << 60, np.uint64)
     sizes, before = np.full(30, 100), np.arange(30)
-    asked = [(0, b"".join(p for _, p in jc.ask_room(h, sizes, before, 1)))]
-    assert len(asked[0][1]) == 7
-    assert jc.answers_for(h, {jc._SECOND: dict(jc.answer_room(0, asked))[0]}, 1, jc._SECOND).all()
+    asked = [(0, b"".join(p for _, p in jc.ask_room(h, sizes, before, before, 1)))]
+    assert len(asked[0][1]) == 12
+    assert (jc.answers_for(h, {jc._SECOND: dict(jc.answer_room(0, asked))[0]}, 1, jc._SECOND) > 0).all()
+
+
+def test_every_pair_with_room_still_meets():
+    r = np.random.default_rng(7)
+    # sets as lists of hashes in a common order, dealt to shards; few distinct groups
+    families = [r.choice(40, size=r.integers(2, 12), replace=False) for _ in range(25)]
+    families += families[:6]
+    has = [sorted(i for i, f in enumerate(families) if n in f) for n in range(40)]
+    h = np.concatenate([np.array(x, np.uint64) for x in has]) << np.uint64(58)
+    k = np.concatenate([np.full(len(x), n) for n, x in enumerate(has)])
+    sizes, before = np.full(len(h), 200), np.concatenate([np.arange(len(x)) for x in has])
+    shards = [np.flatnonzero(np.isin(k, q)) for q in np.array_split(np.arange(40), 3)]
+    asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], k[q], 1))) for i, q in enumerate(shards)]
+    replies, kept = dict(jc.answer_room(0, asked)), set()
+    for i, q in enumerate(shards):
+        at = jc.meetings(k[q], jc.answers_for(h[q], {jc._SECOND: replies[i]}, 1, jc._SECOND))
+        kept |= {(int(h[q][a]), int(k[q][a])) for a in at}
+    assert len(kept) < len(h)
+    for a in range(40):
+        for b in range(a):
+            if set(has[a]) & set(has[b]):
+                assert any((x << 58, a) in kept and (x << 58, b) in kept for x in set(has[a]) & set(has[b]))
