@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the cluster names no folder, as in tests.
 LOCAL_FALLBACK = "/tmp/checkpoints"
+_WRITTEN: list[tuple[str, str | None]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,5 +23,23 @@ def materialize(df: DataFrame, label: str, compression: str = "zstd") -> DataFra
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    note_written(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def note_written(path: str, table: str | None = None) -> None:
+    """Remember a written table, for `clear`."""
+    _WRITTEN.append((path, table))
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this process has written so far; call it when results that read it are stored. Gives the number of tables."""
+    n = 0
+    while _WRITTEN:
+        path, table = _WRITTEN.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True))
+    return n
