@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.llm import bytestext as bt
-from lexweave.storage import shared_dir
+from lexweave.storage import note_written, shared_dir
 
 SHARD_BYTES = 4 << 20
 BUCKET_BYTES = 2 << 20
@@ -92,7 +92,9 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     """Shards in a written table that is hashed by shard: joins with answers leave the texts where they are."""
     spark, name = rows.sparkSession, f"lexweave_shards_{uuid.uuid4().hex}"
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = rows.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}").option("compression", "uncompressed")
+    path = f"{shared_dir(spark)}/{name}"
+    note_written(path, name)
+    writer = rows.write.format("parquet").option("path", path).option("compression", "uncompressed")
     writer.bucketBy(buckets, "shard").saveAsTable(name)
     return spark.table(name)
 
