@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.llm import bytestext as bt
@@ -25,8 +25,8 @@ from lexweave.storage import materialize
 
 DIM = 2048
 CENTROIDS = 3
-#: Documents of each language that training takes at most, the first in hash order.
-TRAIN_DOCS = 600
+#: Documents of each language that training takes at most: one for each of so many hash slots.
+TRAIN_DOCS = 1000
 REJECT = 0.001
 #: Of sampled ids (about 40 bytes each).
 BROADCAST_ROWS = 200_000
@@ -119,14 +119,15 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
 
 def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Centroids | None:
     """Fit on at most `most` documents of each language outside the held-out fold; None if there are none."""
+    # one document of each language and slot, the one of the least hash: an aggregate that is summed up before the shuffle
+    h = F.xxhash64("doc_id", F.lit("lang"))
     picked = (
-        docs.where("lang IS NOT NULL AND text IS NOT NULL")
+        docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
         .where(~held_out())
-        .select("lang", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", F.lit("lang")).alias("h"))
-        # Spark cuts each task's rows to the first `most` of a language before the shuffle
-        .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-        .where(F.col("_n") <= most)
-        .select("lang", "doc_id")
+        .select("lang", F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"))
+        .groupBy("lang", F.pmod("h", F.lit(most)).alias("slot"))
+        .agg(F.min(F.struct("h", "doc_id")).alias("m"))
+        .select("lang", "m.doc_id")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
