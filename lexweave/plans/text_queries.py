@@ -30,6 +30,12 @@ def normalize_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", t.normal_key(F.substring("text", 1, 200)).alias("key"))
 
 
+@query("SELECT doc_id, lower(regexp_replace(trim(regexp_replace(text, '[^A-Za-z ]+', '', 'g')), ' +', ' ', 'g')) AS key FROM documents")
+def normalize_whole_text(spark, sf):
+    """Keys of whole texts: documents that differ after a common beginning have different ones."""
+    return table(spark, sf, "documents").select("doc_id", t.normal_key(F.col("text")).alias("key"))
+
+
 @query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, lpad(regexp_extract(url, '([0-9]+)[^0-9]*$', 1), 7, '0') AS name FROM pages")
 def url_parts(spark, sf):
     number = F.regexp_extract("url", "([0-9]+)[^0-9]*$", 1)
