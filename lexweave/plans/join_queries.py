@@ -128,6 +128,20 @@ def added_none_of_forms(spark, sf):
     return m.none_of_forms(d, "doc_id", "forms", base, "word").select("doc_id", F.size("forms").alias("n_forms"))
 
 
+@query("""
+WITH d AS (SELECT doc_id, list_distinct(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS forms FROM documents),
+     w AS (SELECT DISTINCT unnest(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS word FROM benchmark),
+     u AS (SELECT doc_id, unnest(forms) AS word FROM d)
+SELECT doc_id, len(forms)::INT AS n_forms FROM d WHERE NOT EXISTS (SELECT 1 FROM u JOIN w USING (word) WHERE u.doc_id = d.doc_id)
+""")
+def added_none_of_all_forms(spark, sf):
+    """Items of which every form is missing in the base; forms are the distinct words of the whole text."""
+    words = F.split(F.lower(F.translate("text", "\n", " ")), " ")
+    d = table(spark, sf, "documents").select("doc_id", F.array_distinct(words).alias("forms"))
+    base = table(spark, sf, "benchmark").select(F.explode(words).alias("word"))
+    return m.none_of_forms(d, "doc_id", "forms", base, "word").select("doc_id", F.size("forms").alias("n_forms"))
+
+
 @query("""
 WITH a AS (SELECT event_id, user_id, floor(epoch(ts))::BIGINT AS s FROM events WHERE event_type = (SELECT min(event_type) FROM events)),
      b AS (SELECT event_id AS other_id, user_id, floor(epoch(ts))::BIGINT AS s2 FROM events WHERE event_type = (SELECT max(event_type) FROM events)),
