@@ -24,3 +24,10 @@ def test_forms_beyond_the_first_words_are_looked_up(spark, tmp_path):
     docs = [(1, "a b c d e f known"), (2, "a b\nKnown"), (3, "a b\nc a"), (4, "unknown")]
     sf = write(spark, tmp_path, documents=(docs, "doc_id long, text string"), benchmark=([(1, "so known\nis")], "item_id long, text string"))
     assert run(spark, "added_none_of_all_forms", sf) == [(3, 3), (4, 1)]
+
+
+def test_anomalies_of_odd_users_count(spark, tmp_path):
+    events = [(10 * u + k, u, "view" if k < 2 else "buy") for u in (1, 2) for k in range(3)]
+    events += [(30, 3, "click"), (31, 3, "view"), (32, 3, "buy"), (33, 3, "buy"), (50, 5, "view"), (51, 5, "view")]
+    sf = write(spark, tmp_path, events=(events, "event_id long, user_id long, event_type string"))
+    assert run(spark, "anomaly_zero_count", sf) == [(10,), (11,), (20,), (21,)]
