@@ -31,3 +31,9 @@ def test_anomalies_of_odd_users_count(spark, tmp_path):
     events += [(30, 3, "click"), (31, 3, "view"), (32, 3, "buy"), (33, 3, "buy"), (50, 5, "view"), (51, 5, "view")]
     sf = write(spark, tmp_path, events=(events, "event_id long, user_id long, event_type string"))
     assert run(spark, "anomaly_zero_count", sf) == [(10,), (11,), (20,), (21,)]
+
+
+def test_a_common_first_line_is_not_a_known_text(spark, tmp_path):
+    docs = [(1, "Title\nown words", "en"), (2, "TITLE!\nbenchmark words", "en"), (3, "Title", "en"), (4, "7\nwords", "en"), (5, "...", "en"), (7, "Other", "fr")]
+    sf = write(spark, tmp_path, documents=(docs, "doc_id long, text string, lang string"), benchmark=([(1, "Title\nbenchmark words")], "item_id long, text string"))
+    assert run(spark, "nol_anti_join", sf) == [("en", "accepted", 3, 0.6), ("en", "excluded", 1, 0.2), ("fr", "unverified", 1, 0.2)]
