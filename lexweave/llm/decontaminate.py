@@ -34,6 +34,8 @@ N = 10
 SHARD_BYTES = 8 << 20
 SAMPLE = 16
 PHRASE_CHARS = 16 << 20
+#: Column of the words that blocks of phrases have hit so far.
+HIT = "_hit_words"
 
 
 class Wavelet:
@@ -358,44 +360,68 @@ def _digest_of_spans(spans: DataFrame) -> DataFrame:
     return one.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def _earlier(column: pa.Array, per: np.ndarray) -> np.ndarray:
+    """Which words earlier blocks of phrases hit, from packed bits by row."""
+    hit = np.zeros(per[-1], bool)
+    for r, bits in enumerate(column.to_pylist()):
+        if bits is not None:
+            hit[per[r] : per[r + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=per[r + 1] - per[r])
+    return hit
+
+
+def _marked(batch: pa.RecordBatch, hit: np.ndarray, per: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """The batch's columns `names`, and the hit words of each row in packed bits."""
+    own = [hit[per[r] : per[r + 1]] for r in range(len(batch))]
+    bits = pa.array([np.packbits(x).tobytes() if x.any() else None for x in own], pa.binary())
+    return pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), bits], [*names, HIT])
+
+
+def _cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, f: Found, hit: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """The batch's columns `names`, without hit words and without rows of nothing else."""
+    before = np.concatenate([[0], np.cumsum(hit)])
+    n_hit = before[f.per[1:]] - before[f.per[:-1]]
+    columns = {x: batch.column(x) for x in names}
+    if n_hit.any():
+        texts = batch.column("text").to_pylist()
+        for r in np.flatnonzero(n_hit):
+            lo, hi = f.per[r], f.per[r + 1]
+            turn = np.flatnonzero(np.diff(np.concatenate([[0], hit[lo:hi].astype(np.int8), [0]])))
+            out, at = [], offsets[r]
+            for a, b in zip(turn[::2], turn[1::2], strict=True):
+                out.append(data[at : f.starts[lo + a]].tobytes())
+                at = f.ends[lo + b - 1]
+            out.append(data[at : offsets[r + 1]].tobytes())
+            texts[r] = b" ".join(out).decode("utf-8", "replace")
+        columns["text"] = pa.array(texts, batch.schema.field("text").type)
+        if "n_chars" in columns:
+            kind = batch.schema.field("n_chars").type
+            columns["n_chars"] = pa.array([len(t) if h else c for t, h, c in zip(texts, n_hit, columns["n_chars"].to_pylist(), strict=True)], kind)
+    left = pa.array((n_hit == 0) | (n_hit < np.diff(f.per)))
+    return pa.RecordBatch.from_arrays(list(columns.values()), names).filter(left)
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """Documents with all hit spans cut out of `text`; `n_chars`, if there, is set anew.
 
     A cut takes the bytes from the first to the last word of a merged span and
     leaves one space. A document that had hits and has no word left goes.
-    Clean documents stay as they are, null and empty texts too.
+    Clean documents stay as they are, null and empty texts too. All blocks of
+    phrases are searched in the uncut text; the last one's pass cuts.
     """
-    schema = docs.schema
-    for phrases in phrase_blocks(benchmark, n):
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    schema, names = docs.schema, docs.columns
+    marked = T.StructType([*schema.fields, T.StructField(HIT, T.BinaryType())])
+    blocks = [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, n)]
+    for k, shared in enumerate(blocks):
+        first, last = k == 0, k == len(blocks) - 1
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=first, last=last) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch, data, offsets in shards(whole, "text"):
                     f = search_shard(data, offsets, shared.value)
-                    before = np.concatenate([[0], np.cumsum(f.hit)])
-                    n_hit = before[f.per[1:]] - before[f.per[:-1]]
-                    if n_hit.any():
-                        texts = batch.column("text").to_pylist()
-                        for r in np.flatnonzero(n_hit):
-                            lo, hi = f.per[r], f.per[r + 1]
-                            turn = np.flatnonzero(np.diff(np.concatenate([[0], f.hit[lo:hi].astype(np.int8), [0]])))
-                            out, at = [], offsets[r]
-                            for a, b in zip(turn[::2], turn[1::2], strict=True):
-                                out.append(data[at : f.starts[lo + a]].tobytes())
-                                at = f.ends[lo + b - 1]
-                            out.append(data[at : offsets[r + 1]].tobytes())
-                            texts[r] = b" ".join(out).decode("utf-8", "replace")
-                        columns = {x: batch.column(x) for x in batch.schema.names}
-                        columns["text"] = pa.array(texts, batch.schema.field("text").type)
-                        if "n_chars" in columns:
-                            kind = batch.schema.field("n_chars").type
-                            columns["n_chars"] = pa.array([len(t) if h else c for t, h, c in zip(texts, n_hit, columns["n_chars"].to_pylist(), strict=True)], kind)
-                        left = pa.array((n_hit == 0) | (n_hit < np.diff(f.per)))
-                        batch = pa.RecordBatch.from_arrays(list(columns.values()), batch.schema.names).filter(left)
-                    yield batch
-
-        docs = docs.mapInArrow(run, schema)
+                    hit = f.hit if first else f.hit | _earlier(batch.column(HIT), f.per)
+                    yield _cut(batch, data, offsets, f, hit, names) if last else _marked(batch, hit, f.per, names)
+
+        docs = docs.mapInArrow(run, schema if last else marked)
     return docs
 
 

@@ -71,6 +71,23 @@ def test_removed_spans_leave_no_window(spark):
     assert all(c in kept for c in clean)
 
 
+@pytest.mark.parametrize("chars", [60, 200])
+def test_blocks_of_phrases_cut_like_one(spark, monkeypatch, chars):
+    """Items overlap, also across blocks: what one block cuts must not hide another's windows."""
+    docs = documents()
+    long = [t.split() for _, t, *_ in docs if t and len(t.split()) > 60]
+    bench = [(100 * i + k, " ".join(w[k : k + 14])) for i, w in enumerate(long[:6]) for k in (3, 12, 20, 29)]
+    bench += [(1000 + i, " ".join(w[6:8])) for i, w in enumerate(long[:6])]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    one = dc.remove_spans(frame(spark), table).collect()
+    blocks = dc.phrase_blocks
+    assert len(list(blocks(table, 10, chars))) > 1
+    monkeypatch.setattr(dc, "phrase_blocks", lambda b, n: blocks(b, n, chars))
+    out = dc.remove_spans(frame(spark), table)
+    assert out.columns == frame(spark).columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, one))
+
+
 def test_fm_index_finds_all_places():
     r = np.random.default_rng(3)
     runs = [r.integers(1, 4, size=r.integers(1, 60)) for _ in range(40)]
