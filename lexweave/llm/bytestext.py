@@ -13,7 +13,6 @@ import pyarrow as pa
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
-_UNBASE = U(pow(int(BASE), -1, 1 << 64))
 
 #: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z, so upper case is in the class.
 ALNUM = np.zeros(256, bool)
@@ -71,36 +70,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-class Powers:
-    """Powers of BASE and its inverse, kept for the next block."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, U)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            for name, b in (("up", BASE), ("down", _UNBASE)):
-                x = np.full(n, b, U)
-                x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
-        return self.up, self.down
-
-
-_POWERS = Powers()
-
-
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Sums for span_hash; n + 1 of them."""
-    up, _ = _POWERS.get(len(data) + 1)
-    out = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=out[1:])
-    return out
-
-
-def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span, the same wherever they stand."""
-    _, down = _POWERS.get(len(sums))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+
+
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian number, zeros after the end; a view, to be indexed."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each span, the same wherever they stand; another seed is another function.
+
+    Every eight bytes are spread together with their number in the span before
+    they are added up, so that no arithmetic relation of the bytes carries over
+    to the sums, whatever a span's length.
+    """
+    size = (ends - starts).astype(np.int64)
+    at = np.asarray(starts, np.int64)
+    if not len(at):
+        return np.zeros(0, U)
+    start = U((seed + 1) * int(BASE) & 0xFFFFFFFFFFFFFFFF)
+    words = words_at(data)
+    h = mix((words[at] & _FIRST[np.minimum(size, 8)]) ^ start)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) // 8  # eight-byte words after the first
+        first = np.cumsum(more) - more
+        inner = np.arange(first[-1] + more[-1]) - np.repeat(first, more) + 1
+        place = np.repeat(at[long], more) + 8 * inner
+        left = np.minimum(np.repeat(at[long] + size[long], more) - place, 8)
+        part = mix((words[place] & _FIRST[left]) ^ mix(inner.astype(U) * BASE + start))
+        h[long] += np.add.reduceat(part, first)
+    return mix(h + size.astype(U) * BASE)
 
 
 def chain_hash(h: np.ndarray, k: int) -> np.ndarray:

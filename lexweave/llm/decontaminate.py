@@ -12,14 +12,15 @@ spans are merged by document.
 Phrases are windows of `n` consecutive words of an item; an item of fewer
 words, but not none, is one window. Documents never leave their task, so that
 nothing is shuffled. Phrases go to the tasks in blocks of at most PHRASE_CHARS
-characters of test text: a larger test set takes several passes, whose spans
-are merged by document.
+characters of test text, one block after the other: a larger test set takes
+several passes over the uncut texts, between which texts are written with the
+words and items that were hit so far.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,13 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexweave.llm import bytestext as bt
+from lexweave.storage import materialize
 
 N = 10
 SHARD_BYTES = 8 << 20
 SAMPLE = 16
 PHRASE_CHARS = 16 << 20
-#: Column of the words that blocks of phrases have hit so far.
-HIT = "_hit_words"
 
 
 class Wavelet:
@@ -99,7 +99,7 @@ def suffix_order(seq: np.ndarray) -> np.ndarray:
     key, live = np.zeros(n, np.int64), np.ones(n, bool)
     for j in range(k):
         s = np.zeros(n, np.int64)
-        s[: n - j] = seq[j:]
+        s[: max(0, n - j)] = seq[j:]
         s[~live] = 0
         live &= s > 0
         key = (key << width) | s
@@ -174,10 +174,12 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """vocab: sorted word hashes, symbol i + 1; windows: by length, (symbols, window numbers); items of window i: items[first[i]:first[i + 1]]."""
+    """vocab: sorted word hashes, symbol i + 1; its word: text[text_at[i]:text_at[i + 1]]; windows: by length, (symbols, window numbers); items of window i: items[first[i]:first[i + 1]]."""
 
     names: list[str]
     vocab: np.ndarray
+    text: np.ndarray
+    text_at: np.ndarray
     windows: dict[int, tuple[np.ndarray, np.ndarray]]
     first: np.ndarray
     items: np.ndarray
@@ -188,8 +190,10 @@ class Phrases:
         number = {x: k for k, x in enumerate(names)}
         data, offsets = bt.utf8(pa.array([t for _, t in rows], pa.large_string()))
         starts, ends, per = bt.word_bounds(data, offsets, bt.ALNUM)
-        h = bt.span_hash(bt.prefix_sums(bt.LOWER[data]), starts, ends)
-        vocab, symbol = np.unique(h, return_inverse=True)
+        data = bt.LOWER[data]
+        vocab, place, symbol = np.unique(bt.span_hash(data, starts, ends), return_index=True, return_inverse=True)
+        text_at = np.concatenate([[0], np.cumsum((ends - starts)[place])])
+        text = np.concatenate([np.zeros(0, np.uint8), *(data[a:z] for a, z in zip(starts[place], ends[place], strict=True))])
         symbol = symbol.astype(np.int64) + 1
         of: dict[tuple[int, ...], set[int]] = {}
         for r, (item, _) in enumerate(rows):
@@ -205,7 +209,19 @@ class Phrases:
         for length in sorted({len(k) for k in keys}):
             own = [i for i, k in enumerate(keys) if len(k) == length]
             windows[length] = (np.array([keys[i] for i in own], np.int64), np.array(own))
-        return cls(names, vocab, windows, first, items)
+        return cls(names, vocab, text, text_at, windows, first, items)
+
+    def are_words(self, symbol: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether each span's bytes are the word of its symbol, and not only of one hash with it."""
+        at = self.text_at[symbol - 1]
+        size = ends - starts
+        ok = size == self.text_at[symbol] - at
+        i = np.flatnonzero(ok)
+        size = size[i]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        differ = bt.LOWER[data[np.repeat(starts[i], size) + inner]] != self.text[np.repeat(at[i], size) + inner]
+        ok[i] = np.bincount(np.repeat(np.arange(len(i)), size)[differ], minlength=len(i)) == 0
+        return ok
 
 
 @dataclass
@@ -220,13 +236,21 @@ class Found:
     items: np.ndarray
 
 
+def _covered(found: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words some occurrence (first word, word after the last, ...) covers."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, found[:, 0], 1)
+    np.add.at(edge, found[:, 1], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def search_shard(data: np.ndarray, offsets: np.ndarray, phrases: Phrases) -> Found:
     starts, ends, per = bt.word_bounds(data, offsets, bt.ALNUM)
     n = len(starts)
     none = Found(per, starts, ends, np.zeros(n, bool), np.zeros(0, np.int64), np.zeros(0, np.int64))
     if not n or not phrases.windows:
         return none
-    h = bt.span_hash(bt.prefix_sums(bt.LOWER[data]), starts, ends)
+    h = bt.span_hash(bt.LOWER[data], starts, ends)
     at = np.minimum(np.searchsorted(phrases.vocab, h), len(phrases.vocab) - 1)
     symbol = np.where(phrases.vocab[at] == h, at + 1, 0)
     # runs of vocabulary words within a document that can hold the shortest phrase
@@ -246,7 +270,7 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, phrases: Phrases) -> Fou
     seq, where = np.zeros(new[-1] + 2, np.int64), np.zeros(new[-1] + 2, np.int64)
     seq[new], where[new] = symbol[known], known
     index = FMIndex(seq, len(phrases.vocab) + 1)
-    edge, pairs = np.zeros(n + 1, np.int64), []
+    found = []
     for length, (patterns, numbers) in phrases.windows.items():
         lo, hi = index.search(patterns)
         count = np.maximum(hi - lo, 0)
@@ -254,18 +278,26 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, phrases: Phrases) -> Fou
             continue
         rows = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         word = where[index.locate(rows)]
-        np.add.at(edge, word, 1)
-        np.add.at(edge, word + length, -1)
-        pairs.append(np.stack([doc[word], np.repeat(numbers, count)], 1))
-    if not pairs:
+        found.append(np.stack([word, word + length, np.repeat(numbers, count)], 1))
+    if not found:
         return none
-    pairs = np.unique(np.concatenate(pairs), axis=0)
+    found = np.concatenate(found)
+    hit = _covered(found, n)
+    # a word that only shares a vocabulary word's hash is none: what covers it doesn't occur
+    at = np.flatnonzero(hit)
+    wrong = np.zeros(n + 1, np.int64)
+    wrong[at + 1] = ~phrases.are_words(symbol[at], data, starts[at], ends[at])
+    wrong = np.cumsum(wrong)
+    if wrong[-1]:
+        found = found[wrong[found[:, 1]] == wrong[found[:, 0]]]
+        hit = _covered(found, n)
+    pairs = np.unique(np.stack([doc[found[:, 0]], found[:, 2]], 1), axis=0)
     some = np.diff(phrases.first)[pairs[:, 1]]
     rows = np.repeat(pairs[:, 0], some)
     begin = np.repeat(phrases.first[pairs[:, 1]] - np.concatenate([[0], np.cumsum(some)[:-1]]), some)
     items = phrases.items[begin + np.arange(some.sum())]
     both = np.unique(np.stack([rows, items], 1), axis=0)
-    return Found(per, starts, ends, np.cumsum(edge[:-1]) > 0, both[:, 0], both[:, 1])
+    return Found(per, starts, ends, hit, both[:, 0], both[:, 1])
 
 
 def shards(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -284,6 +316,68 @@ def phrase_blocks(benchmark: DataFrame, n: int, most: int = PHRASE_CHARS) -> Ite
         yield Phrases.of([tuple(r) for r in own.collect()], n)
 
 
+@dataclass
+class Hits:
+    """What all blocks of phrases hit in a run of rows: words by row, word bounds, hit words, and the items' names by row, in order."""
+
+    per: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hit: np.ndarray
+    items: list[list[str]]
+
+    def counts(self) -> np.ndarray:
+        before = np.concatenate([[0], np.cumsum(self.hit)])
+        return before[self.per[1:]] - before[self.per[:-1]]
+
+    def spans(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the merged spans, and the words after their last."""
+        own = self.hit[self.per[row] : self.per[row + 1]].astype(np.int8)
+        turn = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]])))
+        return turn[::2], turn[1::2]
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame, n: int, finish: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, Hits], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
+    """finish(rows, bytes, offsets, hits of all blocks of phrases) for runs of rows of docs.
+
+    One block is held at a time. All but the last block's pass write the rows
+    with two columns more: hit words as packed bits, and hit items.
+    """
+    names, blocks = docs.columns, phrase_blocks(benchmark, n)
+    bits, items = (next(x for k in range(len(names) + 1) if (x := f"_{c}{k}") not in names) for c in ("bits", "items"))
+    between = T.StructType([*docs.schema.fields, T.StructField(bits, T.BinaryType()), T.StructField(items, T.ArrayType(T.StringType()))])
+    first, phrases = True, next(blocks)
+    while phrases is not None:
+        later = next(blocks, None)
+        shared = docs.sparkSession.sparkContext.broadcast(phrases)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=first, last=later is None) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch, data, offsets in shards(whole, "text"):
+                    f = search_shard(data, offsets, shared.value)
+                    x = Hits(f.per, f.starts, f.ends, f.hit, [[] for _ in range(len(batch))])
+                    for r, i in zip(f.rows.tolist(), f.items.tolist(), strict=True):
+                        x.items[r].append(shared.value.names[i])
+                    if not first:
+                        for r, (b, own) in enumerate(zip(batch.column(bits).to_pylist(), batch.column(items).to_pylist(), strict=True)):
+                            lo, hi = f.per[r], f.per[r + 1]
+                            x.hit[lo:hi] |= np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool) if b else False
+                            x.items[r] = sorted({*x.items[r], *own})
+                    if last:
+                        yield finish(batch.select(names), data, offsets, x)
+                    else:
+                        some = [np.packbits(x.hit[a:z]).tobytes() if x.hit[a:z].any() else None for a, z in zip(f.per[:-1], f.per[1:], strict=True)]
+                        own = pa.array(x.items, pa.list_(pa.string()))
+                        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(some, pa.binary()), own], [*names, bits, items])
+
+        docs = docs.mapInArrow(run, schema if later is None else between)
+        if later is not None:
+            docs = materialize(docs, "marks")
+            shared.unpersist()
+        first, phrases = False, later
+    return docs
+
+
 DIGEST = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -294,135 +388,67 @@ def digest(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     item without an id are hit, but it isn't listed. Rows with the same doc_id
     are judged apart. Other columns are ignored; empty tables are allowed.
     """
-    blocks = list(phrase_blocks(benchmark, n))
-    if len(blocks) > 1:
-        return _digest_of_spans(find_spans(docs, blocks))
-    shared = docs.sparkSession.sparkContext.broadcast(blocks[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, empty = shared.value, hashlib.sha256(b"").hexdigest()
-        for whole in batches:
-            for batch, data, offsets in shards(whole, "text"):
-                f = search_shard(data, offsets, phrases)
-                before = np.concatenate([[0], np.cumsum(f.hit)])
-                n_hit = before[f.per[1:]] - before[f.per[:-1]]
-                n_items = np.bincount(f.rows, minlength=len(batch))
-                shas, at = [empty] * len(batch), np.concatenate([[0], np.cumsum(n_items)])
-                for r in np.flatnonzero(n_items):
-                    shas[r] = hashlib.sha256(",".join(phrases.names[i] for i in f.items[at[r] : at[r + 1]]).encode()).hexdigest()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(f.per), pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(shas), pa.array(n_hit > 0)],
-                    ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, DIGEST)
-
-
-SPANS = "row long, doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
-
-
-def find_spans(docs: DataFrame, blocks: list[Phrases]) -> DataFrame:
-    """Merged spans of hit words [start, end) and items, by row, for each block of phrases."""
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    out = None
-    for phrases in blocks:
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch, data, offsets in shards(whole, "text"):
-                    f = search_shard(data, offsets, shared.value)
-                    starts, ends, items = [], [], [[] for _ in range(len(batch))]
-                    for r in range(len(batch)):
-                        own = np.concatenate([[0], f.hit[f.per[r] : f.per[r + 1]].astype(np.int8), [0]])
-                        turn = np.flatnonzero(np.diff(own))
-                        starts.append(turn[::2])
-                        ends.append(turn[1::2])
-                    for r, i in zip(f.rows, f.items, strict=True):
-                        items[r].append(shared.value.names[i])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("row"), batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(f.per), pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                        ["row", "doc_id", "n_words", "starts", "ends", "items"],
-                    )
-
-        own = keyed.mapInArrow(run, SPANS)
-        out = own if out is None else out.unionByName(own)
-    return out
-
-
-def _digest_of_spans(spans: DataFrame) -> DataFrame:
-    """Spans of several blocks of phrases to one row for each document; few spans a document."""
-    pieces = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))))
-    one = spans.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), pieces.alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
-    add = lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["ends"] - F.greatest(a["to"], x["starts"]))).cast("long").alias("n"), F.greatest(a["to"], x["ends"]).alias("to"))
-    n_hit = F.aggregate("p", start, add)["n"]
-    return one.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
-
-
-def _earlier(column: pa.Array, per: np.ndarray) -> np.ndarray:
-    """Which words earlier blocks of phrases hit, from packed bits by row."""
-    hit = np.zeros(per[-1], bool)
-    for r, bits in enumerate(column.to_pylist()):
-        if bits is not None:
-            hit[per[r] : per[r + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=per[r + 1] - per[r])
-    return hit
-
-
-def _marked(batch: pa.RecordBatch, hit: np.ndarray, per: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    """The batch's columns `names`, and the hit words of each row in packed bits."""
-    own = [hit[per[r] : per[r + 1]] for r in range(len(batch))]
-    bits = pa.array([np.packbits(x).tobytes() if x.any() else None for x in own], pa.binary())
-    return pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), bits], [*names, HIT])
-
-
-def _cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, f: Found, hit: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    """The batch's columns `names`, without hit words and without rows of nothing else."""
-    before = np.concatenate([[0], np.cumsum(hit)])
-    n_hit = before[f.per[1:]] - before[f.per[:-1]]
-    columns = {x: batch.column(x) for x in names}
+    def finish(batch: pa.RecordBatch, _: np.ndarray, __: np.ndarray, x: Hits) -> pa.RecordBatch:
+        n_hit, empty = x.counts(), hashlib.sha256(b"").hexdigest()
+        shas = [hashlib.sha256(",".join(own).encode()).hexdigest() if own else empty for own in x.items]
+        n_items = [len(own) for own in x.items]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(x.per), pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(shas, pa.string()), pa.array(n_hit > 0)],
+            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+        )
+
+    return _passes(docs.select("doc_id", "text"), benchmark, n, finish, DIGEST)
+
+
+SPANS = "doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
+
+
+def find_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+    """One row for each document: doc_id, n_words, its merged spans of hit words [starts, ends) and its items, in order."""
+
+    def finish(batch: pa.RecordBatch, _: np.ndarray, __: np.ndarray, x: Hits) -> pa.RecordBatch:
+        spans = [x.spans(r) for r in range(len(batch))]
+        longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(x.per), pa.int64()), pa.array([s for s, _ in spans], longs), pa.array([e for _, e in spans], longs), pa.array(x.items, strings)],
+            ["doc_id", "n_words", "starts", "ends", "items"],
+        )
+
+    return _passes(docs.select("doc_id", "text"), benchmark, n, finish, SPANS)
+
+
+def _cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, x: Hits) -> pa.RecordBatch:
+    """The batch without hit words and without rows of nothing else."""
+    n_hit = x.counts()
+    names = batch.schema.names
+    columns = {c: batch.column(c) for c in names}
     if n_hit.any():
         texts = batch.column("text").to_pylist()
         for r in np.flatnonzero(n_hit):
-            lo, hi = f.per[r], f.per[r + 1]
-            turn = np.flatnonzero(np.diff(np.concatenate([[0], hit[lo:hi].astype(np.int8), [0]])))
-            out, at = [], offsets[r]
-            for a, b in zip(turn[::2], turn[1::2], strict=True):
-                out.append(data[at : f.starts[lo + a]].tobytes())
-                at = f.ends[lo + b - 1]
+            out, at, lo = [], offsets[r], x.per[r]
+            for a, b in zip(*x.spans(r), strict=True):
+                out.append(data[at : x.starts[lo + a]].tobytes())
+                at = x.ends[lo + b - 1]
             out.append(data[at : offsets[r + 1]].tobytes())
             texts[r] = b" ".join(out).decode("utf-8", "replace")
         columns["text"] = pa.array(texts, batch.schema.field("text").type)
         if "n_chars" in columns:
             kind = batch.schema.field("n_chars").type
             columns["n_chars"] = pa.array([len(t) if h else c for t, h, c in zip(texts, n_hit, columns["n_chars"].to_pylist(), strict=True)], kind)
-    left = pa.array((n_hit == 0) | (n_hit < np.diff(f.per)))
+    left = pa.array((n_hit == 0) | (n_hit < np.diff(x.per)))
     return pa.RecordBatch.from_arrays(list(columns.values()), names).filter(left)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """Documents with all hit spans cut out of `text`; `n_chars`, if there, is set anew.
 
-    A cut takes the bytes from the first to the last word of a merged span and
-    leaves one space. A document that had hits and has no word left goes.
-    Clean documents stay as they are, null and empty texts too. All blocks of
-    phrases are searched in the uncut text; the last one's pass cuts.
+    A window of n words, or an item of fewer words as a whole, is cut wherever
+    it occurs. A cut takes the bytes from the first to the last word of a
+    merged span and leaves one space. A document that had hits and has no word
+    left goes. Clean documents stay as they are, null and empty texts too.
     """
-    schema, names = docs.schema, docs.columns
-    marked = T.StructType([*schema.fields, T.StructField(HIT, T.BinaryType())])
-    blocks = [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, n)]
-    for k, shared in enumerate(blocks):
-        first, last = k == 0, k == len(blocks) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=first, last=last) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch, data, offsets in shards(whole, "text"):
-                    f = search_shard(data, offsets, shared.value)
-                    hit = f.hit if first else f.hit | _earlier(batch.column(HIT), f.per)
-                    yield _cut(batch, data, offsets, f, hit, names) if last else _marked(batch, hit, f.per, names)
-
-        docs = docs.mapInArrow(run, schema if last else marked)
-    return docs
+    return _passes(docs, benchmark, n, _cut, docs.schema)
 
 
 def op1_fm_index(spark, sf_dir: str) -> DataFrame:

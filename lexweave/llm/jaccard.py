@@ -13,7 +13,8 @@ So that no tree has to hold all points, sets meet by shingle: sets that link
 share one of the first size - ceil(3/4 size) + 1 of their hashes, in any order
 that is the same for all. The order puts hashes of many documents last.
 
-1. Shards ask which of their sets are equal to others', and report frequent hashes.
+1. Shards ask which of their sets are equal to others', and report the hashes of a
+   sample of their sets, whose counts over all shards tell frequent ones.
 2. They ask which first hashes of distinct sets stand in two sets or more whose
    sizes, and places of the hash in the order, leave room for a link. The answer
    names the group of sets; of hashes with one group a set keeps the first.
@@ -49,12 +50,12 @@ MOST_GROUPS = 4096
 LEAF = 16
 #: Sets of one verification group.
 CHUNK = 2000
-#: Frequent hashes that are put last in the order, the most frequent ones of each of HOT_BUCKETS.
+#: Frequent hashes that are put last in the order: by how many of every HOT_SAMPLE-th set have them, HOT_TIMES at least. Any order gives the same links.
 HOT = 48_000
-HOT_BUCKETS = 16
+HOT_SAMPLE = 32
+HOT_TIMES = 3
 SUB_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
-_SECOND = 1 << 24  # bucket numbers of the frequent hashes, and of the second answers
 
 
 def allowed(overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.
         own = offsets[lo : hi + 1] - offsets[lo]
         d = bt.LOWER[data[offsets[lo] : offsets[hi]]]
         ws, we, per = bt.word_bounds(d, own, bt.NONSPACE)
-        h = bt.span_hash(bt.prefix_sums(d), ws, we)
+        h = bt.span_hash(d, ws, we)
         words = np.diff(per)
         row = np.repeat(np.arange(hi - lo), words)
         g = bt.chain_hash(h, n)
@@ -129,26 +130,25 @@ def ask_sets(s: sh.Shard, n: int, buckets: int) -> Iterator[tuple[int, bytes]]:
     x = Sets(s, n)
     for b, own in sh.split_sorted(x.sig[:, 0], buckets):
         yield b, len(x.sig[own]).to_bytes(4, "little") + x.sig[own].tobytes() + x.ids[own].tobytes() + x.nodes[own].tobytes()
-    # hashes of several sets of this shard
-    heads = np.sort(x.head)
+    # the hashes of every HOT_SAMPLE-th set, by the place of its first row
+    heads = x.head[bt.mix(x.nodes.astype(np.uint64)) % np.uint64(HOT_SAMPLE) == 0]
     if len(heads):
-        every = np.concatenate([x.own(r) for r in heads])
-        every.sort()
-        new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        times = np.diff(np.append(new, len(every)))
-        many = times >= max(4, len(heads) // 500)
-        keys, times = every[new][many], times[many]
-        for b, own in sh.split_sorted(keys, HOT_BUCKETS):
-            yield b + _SECOND, keys[own].tobytes() + times[own].astype(np.uint64).tobytes()
+        keys, times = np.unique(np.concatenate([x.own(r) for r in heads]), return_counts=True)
+        spread = bt.mix(keys)
+        order = np.argsort(spread)
+        for b, own in sh.split_sorted(spread[order], buckets):
+            yield b + sh.SECOND, sh.compress(np.concatenate([keys[order][own], times[order][own].astype(np.uint64)]))
 
 
 def answer_sets(bucket: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    if bucket >= _SECOND:
-        halves = [np.frombuffer(p, np.uint64).reshape(2, -1) for _, p in asked]
+    if bucket >= sh.SECOND:
+        halves = [np.frombuffer(sh.decompress(p), np.uint64).reshape(2, -1) for _, p in asked]
         keys, back = np.unique(np.concatenate([x[0] for x in halves]), return_inverse=True)
         times = np.zeros(len(keys), np.int64)
         np.add.at(times, back, np.concatenate([x[1] for x in halves]).astype(np.int64))
-        top = np.argsort(-times, kind="stable")[: HOT // HOT_BUCKETS]
+        # no more than HOT of one bucket can be among the HOT of all
+        top = np.argsort(-times, kind="stable")[:HOT]
+        top = top[times[top] >= HOT_TIMES]
         yield -1, keys[top].tobytes() + times[top].astype(np.uint64).tobytes()
         return
     parts = []
@@ -169,6 +169,21 @@ def answer_sets(bucket: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[i
         at += len(p[0])
 
 
+def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The HOT most frequent hashes of the sampled sets and how many of these have each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.column("reply").to_pylist():
+                h, times = np.frombuffer(p, np.int64).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(times)], ["h", "times"])
+
+    rows = sets.where("shard = -1").select("reply").mapInArrow(run, "h long, times long")
+    # HOT rows of two numbers at most
+    rows = rows.orderBy(F.desc("times"), "h").limit(HOT).collect()
+    return np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["times"] for r in rows], np.int64)
+
+
 def representatives(x: Sets, replies: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The node and the id that stand for each set of the shard."""
     out = np.zeros((len(x.head), 2), np.int64)
@@ -182,7 +197,7 @@ def first_hashes(x: Sets, of: np.ndarray, hot: np.ndarray, hot_times: np.ndarray
     size = x.sizes[of]
     take = size - (3 * size + 3) // 4 + 1
     k = np.repeat(np.arange(len(of)), size)
-    inner = np.arange(size.sum()) - np.repeat(np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     h = x.values[x.first[of][k] + inner]
     if len(hot):
         at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
@@ -223,33 +238,32 @@ def roomy(size_a: np.ndarray, room_a: np.ndarray, size_b: np.ndarray, room_b: np
 
 
 #: Bytes of a set's name in questions, and of a group's in answers.
-NAME_BYTES = 5
-_NAME = np.uint64((1 << 8 * NAME_BYTES) - 1)
+NAME_BYTES = 8
 
 
-def _five(x: np.ndarray) -> np.ndarray:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES]
+def _bytes(x: np.ndarray, n: int) -> np.ndarray:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
 
 
 def _wide(x: np.ndarray) -> np.ndarray:
     out = np.zeros((len(x), 8), np.uint8)
-    out[:, :NAME_BYTES] = x
+    out[:, : x.shape[1]] = x
     return out.view("<u8")[:, 0]
 
 
 def ask_room(h: np.ndarray, sizes: np.ndarray, before: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """By bucket: hashes in order, five bytes each, with the bytes of room_codes and the set's name; of many sets the sum of their names."""
+    """By bucket: hashes in order, without the bits that the bucket tells, with the bytes of room_codes and the set's name; of many sets the sum of their names."""
     order, many = sent_rows(h)
     size, room = room_codes(sizes[order], before[order])
     size[many] = room[many] = ANY
-    names = bt.mix(nodes.astype(np.uint64)) & _NAME
+    names = bt.mix(nodes.astype(np.uint64))
     by_hash = np.argsort(h, kind="stable")
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(names[by_hash])])
     every = h[by_hash]
-    name = np.where(many, sums[np.searchsorted(every, h[order], "right")] - sums[np.searchsorted(every, h[order])], names[order]) & _NAME
-    drop = np.uint64(64 - 8 * sh.HASH_BYTES - (buckets - 1).bit_length())
+    name = np.where(many, sums[np.searchsorted(every, h[order], "right")] - sums[np.searchsorted(every, h[order])], names[order])
+    drop = sh.spare_bits(buckets)
     for b, own in sh.split_sorted(h[order], buckets):
-        yield b, np.concatenate([_five(h[order][own] >> drop), size[own, None], room[own, None], _five(name[own])], axis=1).tobytes()
+        yield b, np.concatenate([_bytes(h[order][own] >> drop, sh.HASH_BYTES), size[own, None], room[own, None], _bytes(name[own], NAME_BYTES)], axis=1).tobytes()
 
 
 def sent_rows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +329,7 @@ def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, b
     length = np.diff(np.append(np.flatnonzero(new), len(h)))
     together = np.zeros(len(h), np.uint64)
     if len(h):
-        together[order] = np.repeat(bt.mix(np.add.reduceat(name[order], np.flatnonzero(new)) & _NAME) & _NAME | np.uint64(1), length)
+        together[order] = np.repeat(bt.mix(np.add.reduceat(name[order], np.flatnonzero(new))) | np.uint64(1), length)
     own = order[np.repeat(length > 1, length)]
     if len(own):
         group = np.repeat(np.arange((length > 1).sum()), length[length > 1])
@@ -345,7 +359,7 @@ def answer_room(_: int, asked: list[tuple[int, bytes]]) -> Iterator[tuple[int, b
     at = 0
     for (shard, _), r in zip(asked, rows, strict=True):
         bits = hit[at : at + len(r)]
-        yield shard, np.packbits(bits).tobytes() + _five(together[at : at + len(r)][bits]).tobytes() if bits.any() else b""
+        yield shard, np.packbits(bits).tobytes() + _bytes(together[at : at + len(r)][bits], NAME_BYTES).tobytes() if bits.any() else b""
         at += len(r)
 
 
@@ -676,14 +690,28 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
     and a component of null ids only has a null component_id. Other columns
     are ignored; an empty table gives an empty result.
     """
-    packed = sh.pack(docs)
+    rows, found = linked_rows(sh.pack(docs), n, chunk)
+    ids = rows.where("node >= 0").groupBy("node").agg(F.min("low").alias("low"))
+    best = found.join(ids, "node").groupBy("root").agg(F.min("low").alias("best"))
+    best = found.join(best, "root").select("node", "best")
+    # rows of one node are copies, up to a third of all: each shard asks once for each of its nodes
+    shard = F.shiftright("row", sh.ROW_BITS).alias("shard")
+    own = rows.where("node >= 0").select(shard, "node").distinct().join(best, "node")
+    low = F.coalesce("best", "low")
+    return rows.select("*", shard).join(own, ["shard", "node"], "left").select("doc_id", "n_shingles", F.when(low != NO_ID, low).alias("component_id"))
+
+
+def linked_rows(packed: DataFrame, n: int = N, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: (row, doc_id, n_shingles, node, low) of all rows, and (node, root) of all linked nodes.
+
+    row is the packed row's number, node the row that stands for all of its
+    set, -1 without shingles, and low the smallest id of that set.
+    """
     few, some, many = sh.bucket_count(packed, 0.02), sh.bucket_count(packed, 0.4), sh.bucket_count(packed, 0.4)
     sets = materialize(sh.answer(sh.ask(packed, lambda s: ask_sets(s, n, few)), answer_sets), "sets")
-    # at most HOT hashes
-    hot_rows = sets.where("shard = -1").collect()
-    hot = np.concatenate([np.zeros((2, 0), np.uint64), *(np.frombuffer(r["reply"], np.uint64).reshape(2, -1) for r in hot_rows)], axis=1)
-    order = np.argsort(hot[0])
-    shared = docs.sparkSession.sparkContext.broadcast((hot[0][order], hot[1][order].astype(np.int64)))
+    hot_hashes, times = frequent(sets)
+    order = np.argsort(hot_hashes)
+    shared = packed.sparkSession.sparkContext.broadcast((hot_hashes[order], times[order]))
     sets = sets.where("shard >= 0")
 
     def firsts(s: sh.Shard, replies: dict[int, bytes]) -> tuple:
@@ -697,11 +725,11 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
         yield from ask_room(h, x.sizes[rows[k]], before, s.rows()[rows[k]], some)
 
     repeated = materialize(sh.answer(sh.ask(packed, ask_repeated, sets), answer_room), "repeated")
-    both = sets.unionByName(repeated.withColumn("bucket", (F.col("bucket") + _SECOND).cast("int")))
+    both = sets.unionByName(repeated.withColumn("bucket", (F.col("bucket") + sh.SECOND).cast("int")))
 
     def ask_pairs(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, rows, h, k, _ = firsts(s, replies)
-        kept = meetings(k, answers_for(h, replies, some, _SECOND))
+        kept = meetings(k, answers_for(h, replies, some, sh.SECOND))
         yield from ask_points(x, rows, h[kept], k[kept], s.rows(), many)
 
     def edges(table: pa.Table) -> pa.Table:
@@ -711,43 +739,32 @@ def join_components(docs: DataFrame, n: int = N, chunk: int = CHUNK) -> DataFram
     candidates = sh.ask(packed, ask_pairs, both).groupBy("bucket").applyInArrow(edges, "a long, b long")
     parts = components(candidates).select("node", F.col("root").alias("part"))
     links = part_links(packed, materialize(parts, "nodes"), n, chunk, many)
-    found = materialize(components(links), "found")
-    return _with_components(packed, sets, found, n, few)
-
-
-def _with_components(packed: DataFrame, sets: DataFrame, found: DataFrame, n: int, few: int) -> DataFrame:
-    """Smallest ids of components to all rows: a set's row asks for its representative's component."""
 
     def pairs(s: sh.Shard, replies: dict[int, bytes]) -> pa.RecordBatch:
         x = Sets(s, n)
         nodes, ids = representatives(x, replies, few)
-        sizes, none = x.sizes, np.full(len(s.ids), -1, np.int64)
-        rep, low = none.copy(), np.where(s.null_ids, NO_ID, s.ids)
+        node, low = np.full(len(s.ids), -1, np.int64), np.where(s.null_ids, NO_ID, s.ids)
         has = x.of >= 0
-        rep[has], low[has] = nodes[x.of[has]], ids[x.of[has]]
-        return pa.RecordBatch.from_arrays([s.id_array(), pa.array(sizes, pa.int64()), pa.array(rep, pa.int64()), pa.array(low, pa.int64())], ["doc_id", "n_shingles", "node", "low"])
+        node[has], low[has] = nodes[x.of[has]], ids[x.of[has]]
+        return pa.RecordBatch.from_arrays([pa.array(s.rows()), s.id_array(), *(pa.array(c, pa.int64()) for c in (x.sizes, node, low))], ["row", "doc_id", "n_shingles", "node", "low"])
 
-    rows = materialize(sh.finish(packed, sets, pairs, "doc_id long, n_shingles long, node long, low long"), "rows")
-    ids = rows.where("node >= 0").groupBy("node").agg(F.min("low").alias("low"))
-    best = found.join(ids, "node").groupBy("root").agg(F.min("low").alias("best"))
-    best = found.join(best, "root").select("node", "best")
-    # rows of one node are copies, up to a third of all: their part is added by salted join
-    salts = 64
-    best = best.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64("doc_id", "node"), F.lit(salts)).cast("int")
-    low = F.coalesce("best", "low")
-    return rows.withColumn("_salt", salt).join(best, ["node", "_salt"], "left").select("doc_id", "n_shingles", F.when(low != NO_ID, low).alias("component_id"))
+    rows = materialize(sh.finish(packed, sets, pairs, "row long, doc_id long, n_shingles long, node long, low long"), "rows")
+    return rows, materialize(components(links), "found")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Documents whose component_id is their own doc_id: of each group one stays.
+    """Of each group of linked documents the row of the smallest doc_id; of several such rows, or of null ids only, one.
 
-    Rows that share the smallest id of their group stay together, and so do
-    rows without an id that have no id in their group.
+    Documents without words have no links and stay. Decisions go to the packed
+    documents, so that texts and other columns aren't shuffled.
     """
-    keep = join_components(docs.select("doc_id", "text")).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    return kept.select(*docs.columns)
+    packed = sh.pack(docs, whole=True)
+    rows, found = linked_rows(packed)
+    first = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "row")
+    by_node = rows.where("node >= 0").groupBy("node").agg(F.min(first).alias("first"))
+    best = by_node.join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    kept = best.select("first.row").unionByName(rows.where("node < 0").select("row"))
+    return sh.kept_rows(packed, kept, docs.schema)
 
 
 def op6_count_vector_join(spark, sf_dir: str) -> DataFrame:

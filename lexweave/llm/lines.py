@@ -96,7 +96,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, least_chars: int) -> tuple[
     some = hi > lo
     s, e = starts.copy(), starts.copy()
     s[some], e[some] = ws[lo[some]], we[hi[some] - 1]
-    h = bt.span_hash(bt.prefix_sums(bt.LOWER[data]), s, e)
+    h = bt.span_hash(bt.LOWER[data], s, e)
     chars = np.concatenate([[0], np.cumsum(_START[data], dtype=np.int64)])
     return starts, ends, row, h, chars[e] - chars[s] >= least_chars
 

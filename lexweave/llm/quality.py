@@ -87,7 +87,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     per_word = 1.0 / np.maximum(words, 1)
     sums = np.concatenate([[0], np.cumsum(we - ws)])
     x[:, k] = (sums[hi] - sums[lo]) * per_word / 10
-    h = bt.span_hash(bt.prefix_sums(bt.LOWER[data]), ws, we)
+    h = bt.span_hash(bt.LOWER[data], ws, we)
     own = np.repeat(np.arange(n), words)
     at = np.repeat(lo - np.concatenate([[0], np.cumsum(words)[:-1]]), words) + np.arange(words.sum())
     key = bt.mix(h[at] ^ (own.astype(np.uint64) * bt.BASE))

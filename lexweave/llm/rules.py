@@ -57,7 +57,6 @@ def text_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     ws, we, per = bt.word_bounds(data, offsets, bt.NONSPACE)
     n_words = np.diff(per)
     row = np.repeat(np.arange(n), n_words)
-    sums = bt.prefix_sums(data)
     word_chars = per_byte(bt.NONSPACE[data] & _START[data])
     n_symbols = per_byte(_SYMBOL[data])
     # lines: a text of k line feeds has k + 1
@@ -69,11 +68,11 @@ def text_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     ls, le = starts[with_word], ends[with_word]
     line_row = np.searchsorted(offsets, ls, "right") - 1
     salt = line_row.astype(np.uint64) * bt.BASE
-    again = _again(bt.mix(bt.span_hash(sums, ls, le) ^ salt))
+    again = _again(bt.mix(bt.span_hash(data, ls, le) ^ salt))
     n_lines = np.bincount(line_row, minlength=n)
     n_dup = np.bincount(line_row[again], minlength=n)
     # words in windows of three that come twice
-    h = bt.chain_hash(bt.span_hash(sums, ws, we), 3)
+    h = bt.chain_hash(bt.span_hash(data, ws, we), 3)
     whole = row[: len(h)] == row[2:] if len(h) else np.zeros(0, bool)
     at = np.flatnonzero(whole)
     key = bt.mix(h[at] ^ (row[at].astype(np.uint64) * bt.BASE))

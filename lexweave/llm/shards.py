@@ -17,9 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexweave.llm import bytestext as bt
 from lexweave.storage import note_written, shared_dir
@@ -57,8 +59,21 @@ def decompress(x: bytes) -> bytes:
     return pa.Codec(_CODEC).decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True)
 
 
-def pack(docs: DataFrame) -> DataFrame:
-    """The written table of shards of docs (doc_id, text); null texts are empty."""
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def pack(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """The written table of shards of docs (doc_id, text); null texts are empty.
+
+    whole: all columns but the text, and which texts are null, go along in a
+    column `rest`, for `kept_rows`.
+    """
+    others = [c for c in docs.columns if c != "text"] if whole else []
+    carried = [F.col(c).alias(f"_r{k}") for k, c in enumerate(others)] + [F.isnull("text").alias("_null")] if whole else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, held, size = TaskContext.get().partitionId() << ROW_BITS, [], 0
@@ -69,22 +84,23 @@ def pack(docs: DataFrame) -> DataFrame:
             data = np.concatenate([x[1] for x in held])
             steps = np.concatenate([np.diff(x[2]) for x in held])
             offsets = np.concatenate([[0], np.cumsum(steps)]).astype("<i8")
-            row = [[base], [len(ids)], [len(data)], [compress(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))], [compress(ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8))], [compress(offsets)], [compress(data)]]
+            rest = [[compress(_stream(pa.Table.from_batches([x[3] for x in held])))]] if whole else []
+            row = [[base], [len(ids)], [len(data)], [compress(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))], [compress(ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8))], [compress(offsets)], [compress(data)], *rest]
             base, held, size = base + 1, [], 0
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * 4, strict=True)], ["shard", "n", "size", "ids", "null_ids", "offsets", "text"])
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * (4 + whole), strict=True)], ["shard", "n", "size", "ids", "null_ids", "offsets", "text"] + ["rest"] * whole)
 
         for batch in batches:
             data, offsets = bt.utf8(batch.column("text"))
             ids = batch.column("doc_id")
             for lo, hi in ((a, min(hi, a + MOST_ROWS // 2)) for lo, hi in bt.cuts(offsets, SHARD_BYTES // 4) for a in range(lo, hi, MOST_ROWS // 2)):
-                held.append((ids.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]].copy(), offsets[lo : hi + 1] - offsets[lo]))
+                held.append((ids.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]].copy(), offsets[lo : hi + 1] - offsets[lo], batch.slice(lo, hi - lo).select(range(2, batch.num_columns))))
                 size += int(offsets[hi] - offsets[lo])
                 if size >= SHARD_BYTES * 3 // 4 or sum(len(x[0]) for x in held) >= MOST_ROWS:
                     yield flush()
         if held:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(run, PACKED + ", rest binary" * whole)
     return _bucketed(rows)
 
 
@@ -122,6 +138,7 @@ def _single(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def ask(shards: DataFrame, emit: Callable[..., Iterator[tuple[int, bytes]]], answers: DataFrame | None = None) -> DataFrame:
     """(bucket, shard, payload) of all shards; emit(shard, answers so far by bucket)."""
+    shards = shards.drop("rest")
     joined, last = (shards, False) if answers is None else (with_answers(shards, answers), True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +184,27 @@ def finish(shards: DataFrame, answers: DataFrame, apply: Callable[[Shard, dict[i
             for one in _single(batch):
                 yield apply(next(unpack(one)), _by_bucket(one))
 
-    return with_answers(shards, answers).mapInArrow(run, schema)
+    return with_answers(shards.drop("rest"), answers).mapInArrow(run, schema)
+
+
+def kept_rows(shards: DataFrame, rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The packed documents (see `pack`, whole) of the given row numbers, with the columns of schema; their texts aren't shuffled."""
+    others = [f.name for f in schema.fields if f.name != "text"]
+    own = rows.groupBy(F.shiftright("row", ROW_BITS).alias("shard")).agg(F.collect_list(F.col("row").bitwiseAND((1 << ROW_BITS) - 1).cast("int")).alias("keep"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in _single(batch):
+                s = next(unpack(one))
+                rest = pa.ipc.open_stream(decompress(one.column("rest")[0].as_py())).read_all().combine_chunks()
+                null = rest.column("_null").combine_chunks()
+                text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(s.ids), [None, pa.py_buffer(s.offsets), pa.py_buffer(s.data)])
+                at = pa.array(np.sort(np.array(one.column("keep")[0].as_py(), np.int64)))
+                text = pc.if_else(null, pa.scalar(None, pa.large_binary()), text).take(at).view(pa.large_utf8()).cast(pa.string())
+                columns = {c: rest.column(f"_r{k}").combine_chunks().take(at) for k, c in enumerate(others)} | {"text": text}
+                yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema.fields], [f.name for f in schema.fields])
+
+    return shards.join(own.hint("shuffle_hash"), "shard").mapInArrow(run, schema)
 
 
 def split_sorted(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -185,9 +222,18 @@ def split_sorted(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]
 HASH_BYTES = 5
 
 
+def spare_bits(buckets: int) -> np.uint64:
+    """Trailing bits of a hash that aren't sent: its bucket tells the leading ones. From 2^24 buckets on all bits are known."""
+    return np.uint64(max(0, 64 - 8 * HASH_BYTES - (buckets - 1).bit_length()))
+
+
+#: Numbers of buckets stay below; a second question's buckets and replies have numbers from here.
+SECOND = 1 << 30
+
+
 def hash_question(keys: np.ndarray, both: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
     """Sorted distinct hashes by bucket, five bytes each; both: known to stand in two documents."""
-    drop = np.uint64(64 - 8 * HASH_BYTES - (buckets - 1).bit_length())
+    drop = spare_bits(buckets)
     for b, own in split_sorted(keys, buckets):
         low = (keys[own] >> drop).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
         yield b, len(low).to_bytes(4, "little") + np.packbits(both[own]).tobytes() + low.tobytes()

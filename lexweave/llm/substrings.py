@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,6 @@ SUB_BYTES = 1 << 20
 #: Suffixes of one sorted block.
 BLOCK = 1 << 19
 NO_ID = np.iinfo(np.int64).max
-_SECOND = 1 << 24  # replies of the second question have bucket numbers from here
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -58,13 +58,32 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 @dataclass
 class Stretches:
-    """Windows p0 to p1 have their minimizer at `at`; row is the document's number in the shard."""
+    """Windows p0 to p1 have their minimizer at `at`; row is the document's number in the shard; sig: a hash of the stretch's bytes and the minimizer's place in it."""
 
     p0: np.ndarray
     p1: np.ndarray
     at: np.ndarray
     hash: np.ndarray
     row: np.ndarray
+    sig: np.ndarray
+
+
+_STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
+
+
+def gram_hash(words: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
+    """Hash of the GRAM bytes from each place on; words: bytestext.words_at, at: places, or a slice of them."""
+    shifted = (lambda k: words[at.start + k : at.stop + k]) if isinstance(at, slice) else (lambda k: words[at + k])
+    h = shifted(0).astype(np.uint64)
+    for k, step in zip((8, 16, GRAM - 8), _STEPS, strict=True):
+        h = (h ^ (h >> np.uint64(32))) * step + shifted(k)
+    return bt.mix(h)
+
+
+def stretch_hash(first: np.ndarray, second: np.ndarray, last: np.ndarray, lead: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Hash of a stretch by those of its first, second and last gram, which cover it: it has at most three grams' bytes."""
+    shape = (lead * MATCH + windows).astype(np.uint64)
+    return bt.mix(bt.mix(bt.mix(first + shape) ^ second) * _STEPS[1] ^ last)
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray) -> Stretches:
@@ -82,18 +101,18 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> Stretches:
         idx = np.flatnonzero(np.cumsum(edge[:-1]))
         if not len(idx):
             continue
-        sums = bt.prefix_sums(d)
-        i = np.arange(n - GRAM + 1)
-        h = bt.span_hash(sums, i, i + GRAM)
+        h = gram_hash(bt.words_at(d), slice(0, n - GRAM + 1))
+        i = np.arange(len(h))
         mask = np.uint64((1 << n.bit_length()) - 1)
         at = (sliding_min((h & ~mask) | i.astype(np.uint64), SPAN)[idx] & mask).astype(np.int64)
         turn = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (idx[1:] != idx[:-1] + 1)]))
         p0, p1, at = idx[turn], idx[np.append(turn[1:], len(idx)) - 1], at[turn]
         # least hashes are small: spread them again, for buckets by leading bits
-        parts.append((p0 + base, p1 + base, at + base, bt.mix(h[at]), np.searchsorted(own, p0, "right") - 1 + lo))
+        sig = stretch_hash(h[p0], h[p0 + GRAM], h[p1 + MATCH - GRAM], at - p0, p1 - p0 + 1)
+        parts.append((p0 + base, p1 + base, at + base, bt.mix(h[at]), np.searchsorted(own, p0, "right") - 1 + lo, sig))
     if not parts:
         z = np.zeros(0, np.int64)
-        return Stretches(z, z, z, np.zeros(0, np.uint64), z)
+        return Stretches(z, z, z, np.zeros(0, np.uint64), z, np.zeros(0, np.uint64))
     return Stretches(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
@@ -127,18 +146,9 @@ class Groups:
     later: np.ndarray  # by stretch: its document isn't the smallest of its group
 
 
-def _groups(s: Stretches, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, again: np.ndarray) -> Groups:
+def _groups(s: Stretches, ids: np.ndarray, again: np.ndarray) -> Groups:
     at = np.flatnonzero(again)
-    sig = np.zeros(len(at), np.uint64)
-    rows = s.row[at]
-    for lo, hi in bt.cuts(offsets, SUB_BYTES):
-        a, z = np.searchsorted(rows, lo), np.searchsorted(rows, hi)
-        if z > a:
-            own = at[a:z]
-            base = offsets[lo]
-            sums = bt.prefix_sums(data[base : offsets[hi]])
-            sig[a:z] = bt.span_hash(sums, s.p0[own] - base, s.p1[own] + MATCH - base) ^ bt.mix((s.at[own] - s.p0[own]).astype(np.uint64))
-    doc = ids[rows]
+    sig, doc = s.sig[at], ids[s.row[at]]
     order = np.lexsort((at, doc, sig, s.hash[at]))
     h, g = s.hash[at][order], sig[order]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]) if len(at) else np.zeros(0, bool)
@@ -155,40 +165,56 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return data[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
 
 
-def eight_bytes(text: np.ndarray) -> np.ndarray:
-    """At each place the next eight bytes as a number in byte order."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    out = np.zeros(len(text), np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | padded[k : k + len(text)]
-    return out
+def _shifts() -> np.ndarray:
+    """SHIFT[a, b]: the least d by which places of residues a and b both reach the cover."""
+    inside = np.zeros(2 * PERIOD, bool)
+    inside[list(COVER)] = inside[[c + PERIOD for c in COVER]] = True
+    return np.array([[next(d for d in range(PERIOD) if inside[(a + d) % PERIOD] and inside[(b + d) % PERIOD]) for b in range(PERIOD)] for a in range(PERIOD)])
+
+
+SHIFT = _shifts()
+
+
+class CoverRanks:
+    """Ranks of the suffixes at the cover's places that suffixes at `places` reach; they are compared over `room` bytes."""
+
+    def __init__(self, words: np.ndarray, places: np.ndarray, room: int) -> None:
+        top = int(places.max(initial=0)) + 2 * PERIOD
+        wanted = np.zeros(top, bool)
+        for d in np.unique(SHIFT).tolist():
+            reached = places[(SHIFT == d).any(1)[places % PERIOD]] + d
+            wanted[reached[np.isin(reached % PERIOD, COVER)]] = True
+        cover = np.flatnonzero(wanted)
+        keys = [words[cover + k].astype(np.uint64) for k in range((room - 1) // 8 * 8, -1, -8)]
+        order = np.lexsort(keys)
+        new = np.zeros(len(cover), bool)
+        for k in keys:
+            new[1:] |= k[order][1:] != k[order][:-1]
+        self.rank = np.zeros(top, np.int64)
+        self.rank[cover[order]] = np.cumsum(new)
+
+    def own(self, p: np.ndarray) -> np.ndarray:
+        """The rank that each place reaches by its own residue's shift: an order among places of one residue."""
+        r = p % PERIOD
+        return self.rank[p + SHIFT[r, r]]
+
+    def compare(self, i: int, j: int) -> int:
+        """Order of two suffixes that agree on PERIOD bytes."""
+        d = SHIFT[i % PERIOD, j % PERIOD]
+        return int(self.rank[i + d] - self.rank[j + d])
 
 
 def same_strings(text: np.ndarray, places: np.ndarray, room: int, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of places in suffix order, and whether each agrees with the one before it on MATCH bytes.
 
-    Places whose MATCH bytes agree must be congruent modulo PERIOD, as a layout
-    by minimizer makes them, so that both reach the cover by the shift on the
-    diagonal of the cover's table. From no place are more than `room` bytes
-    compared.
+    Suffixes count as equal if they agree on `room` bytes, MATCH at least; text
+    has PERIOD + room bytes and a word more after each place.
     """
-    words = np.concatenate([eight_bytes(text), np.zeros(room + 8, np.uint64)])
-    in_cover = np.zeros(PERIOD, bool)
-    in_cover[list(COVER)] = True
-    shift = np.array([next(d for d in range(PERIOD) if in_cover[(r + d) % PERIOD]) for r in range(PERIOD)])
-    # ranks of the suffixes at the cover's places that some suffix reaches
-    reach = places + shift[places % PERIOD]
-    cover = np.unique(reach)
-    keys = [words[cover + k] for k in range((room - 1) // 8 * 8, -1, -8)]
-    order = np.lexsort(keys)
-    new = np.zeros(len(cover), bool)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    rank = np.empty(len(cover), np.int64)
-    rank[order] = np.cumsum(new)
-    rank_of = rank[np.searchsorted(cover, reach)]
+    words = np.ndarray((len(text) - 7,), ">u8", np.ascontiguousarray(text), strides=(1,))
+    ranks = CoverRanks(words, places, room)
+    residue, own_rank = places % PERIOD, ranks.own(places)
     # blocks by the first two bytes
-    lead = (words[places] >> np.uint64(48)).astype(np.uint16)
+    lead = (words[places].astype(np.uint64) >> np.uint64(48)).astype(np.uint16)
     by = np.argsort(lead, kind="stable")
     ends = np.flatnonzero(np.diff(lead[by])) + 1
     cut = 0
@@ -197,8 +223,18 @@ def same_strings(text: np.ndarray, places: np.ndarray, room: int, block: int = B
         end = len(by) if len(by) - cut <= block else int(ends[k]) if k >= 0 and ends[k] > cut else int(next((e for e in ends if e > cut), len(by)))
         own = by[cut:end]
         p = places[own]
-        o = np.lexsort((rank_of[own], p % PERIOD, words[p + 24], words[p + 16], words[p + 8], words[p]))
+        keys = [words[p + k].astype(np.uint64) for k in (24, 16, 8, 0)]
+        o = np.lexsort((own_rank[own], residue[own], *keys))
         p, own = p[o], own[o]
+        # long ties: suffixes of one residue are in order by their own shift, others by the shift of the pair
+        tie = np.ones(max(0, len(p) - 1), bool)
+        for k in keys:
+            tie &= k[o][1:] == k[o][:-1]
+        group = np.concatenate([[0], np.cumsum(~tie)]) if len(p) else np.zeros(0, np.int64)
+        for g in np.unique(group[1:][tie & (residue[own][1:] != residue[own][:-1])]).tolist():
+            a, z = np.searchsorted(group, (g, g + 1))
+            mixed = sorted(range(a, z), key=cmp_to_key(lambda x, y, p=p: ranks.compare(int(p[x]), int(p[y]))))
+            p[a:z], own[a:z] = p[mixed], own[mixed]
         agree = np.zeros(len(p), bool)
         if len(p) > 1:
             agree[1:] = True
@@ -216,17 +252,18 @@ def bucket_hits(ids: np.ndarray, lead: np.ndarray, windows: np.ndarray, text: np
     """
     sizes = windows + MATCH - 1
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    sums = bt.prefix_sums(text)
-    sig = bt.span_hash(sums, starts, starts + sizes) ^ bt.mix(lead.astype(np.uint64))
+    words = bt.words_at(text)
+    sig = stretch_hash(*(gram_hash(words, p) for p in (starts, starts + GRAM, starts + sizes - GRAM)), lead, windows)
     _, first, back = np.unique(sig, return_index=True, return_inverse=True)
     least = np.full(len(first), NO_ID)
     np.minimum.at(least, back, ids)
     # distinct stretches, each with its minimizer at a multiple of PERIOD
     d_sizes, d_windows, d_lead = sizes[first], windows[first], lead[first]
     room = int(d_sizes.max())
-    slot = -(-(room + SPAN) // PERIOD) * PERIOD
+    # no suffix reaches the next stretch within a shift and `room` bytes
+    slot = -(-(room + SPAN + 2 * PERIOD + 8) // PERIOD) * PERIOD
     at = np.arange(len(first)) * slot + (-d_lead) % PERIOD
-    laid = np.zeros(len(first) * slot + PERIOD + room, np.uint8)
+    laid = np.zeros(len(first) * slot + 2 * PERIOD + 2 * room + 8, np.uint8)
     n_bytes = int(d_sizes.sum())
     inner = np.arange(n_bytes) - np.repeat(np.concatenate([[0], np.cumsum(d_sizes)[:-1]]), d_sizes)
     laid[np.repeat(at, d_sizes) + inner] = text[np.repeat(starts[first], d_sizes) + inner]
@@ -268,7 +305,7 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     def ask_same(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
         x, ids = stretches(s.data, s.offsets), _ids(s)
-        g = _groups(x, ids, s.data, s.offsets, _repeated(x, replies, few))
+        g = _groups(x, ids, _repeated(x, replies, few))
         one = g.first
         for b, own in sh.split_sorted(x.hash[one], many):
             k = one[own]
@@ -293,20 +330,20 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
             yield shard, sh.compress(np.packbits(bits)) if bits.any() else b""
 
     same = sh.answer(sh.ask(packed, ask_same, repeated), answer_same)
-    answers = repeated.unionByName(same.withColumn("bucket", (F.col("bucket") + _SECOND).cast("int")))
+    answers = repeated.unionByName(same.withColumn("bucket", (F.col("bucket") + sh.SECOND).cast("int")))
 
     def apply(s: sh.Shard, replies: dict[int, bytes]) -> pa.RecordBatch:
         x, ids = stretches(s.data, s.offsets), _ids(s)
-        g = _groups(x, ids, s.data, s.offsets, _repeated(x, replies, few))
+        g = _groups(x, ids, _repeated(x, replies, few))
         windows = x.p1 - x.p0 + 1
         # bits by group, in the order they were asked
         of_group = windows[g.first]
         before = np.concatenate([[0], np.cumsum(of_group)])
         bits = np.zeros(before[-1], bool)
         for b, own in sh.split_sorted(x.hash[g.first], many):
-            if b + _SECOND in replies:
+            if b + sh.SECOND in replies:
                 a, z = before[own.start], before[own.stop]
-                bits[a:z] = np.unpackbits(np.frombuffer(sh.decompress(replies[b + _SECOND]), np.uint8), count=z - a).astype(bool)
+                bits[a:z] = np.unpackbits(np.frombuffer(sh.decompress(replies[b + sh.SECOND]), np.uint8), count=z - a).astype(bool)
         n = len(s.data)
         hit = np.zeros(n, bool)
         w, to, later = windows[g.stretch], before[g.of], g.later

@@ -108,7 +108,7 @@ def test_first_hashes_with_room_are_found_exactly():
         asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], q, 1))) for i, q in enumerate(parts)]
         replies, names = dict(jc.answer_room(0, asked)), {}
         for i, q in enumerate(parts):
-            got = jc.answers_for(h[q], {jc._SECOND: replies[i]} if replies[i] else {}, 1, jc._SECOND)
+            got = jc.answers_for(h[q], {jc.sh.SECOND: replies[i]} if replies[i] else {}, 1, jc.sh.SECOND)
             want = [any(b != a and h[b] == h[a] and jc.roomy(size[[a]], room[[a]], size[[b]], room[[b]])[0] for b in range(60)) for a in q]
             assert (got > 0).tolist() == want
             for a, g in zip(q, got, strict=True):
@@ -132,8 +132,8 @@ def test_many_sets_of_one_shard_with_a_hash():
     h = np.full(30, 5 << 60, np.uint64)
     sizes, before = np.full(30, 100), np.arange(30)
     asked = [(0, b"".join(p for _, p in jc.ask_room(h, sizes, before, before, 1)))]
-    assert len(asked[0][1]) == 12
-    assert (jc.answers_for(h, {jc._SECOND: dict(jc.answer_room(0, asked))[0]}, 1, jc._SECOND) > 0).all()
+    assert len(asked[0][1]) == 15
+    assert (jc.answers_for(h, {jc.sh.SECOND: dict(jc.answer_room(0, asked))[0]}, 1, jc.sh.SECOND) > 0).all()
 
 
 def test_every_pair_with_room_still_meets():
@@ -149,7 +149,7 @@ def test_every_pair_with_room_still_meets():
     asked = [(i, b"".join(p for _, p in jc.ask_room(h[q], sizes[q], before[q], k[q], 1))) for i, q in enumerate(shards)]
     replies, kept = dict(jc.answer_room(0, asked)), set()
     for i, q in enumerate(shards):
-        at = jc.meetings(k[q], jc.answers_for(h[q], {jc._SECOND: replies[i]}, 1, jc._SECOND))
+        at = jc.meetings(k[q], jc.answers_for(h[q], {jc.sh.SECOND: replies[i]}, 1, jc.sh.SECOND))
         kept |= {(int(h[q][a]), int(k[q][a])) for a in at}
     assert len(kept) < len(h)
     for a in range(40):

@@ -74,3 +74,21 @@ def test_blocks_give_the_same_strings():
             by.setdefault((p % 31, text[p : p + 50].tobytes()), set()).add(i)
         assert {frozenset(g) for g in groups} == {frozenset(g) for g in by.values()}
     assert len(got) == 1
+
+
+def test_suffixes_come_in_true_order():
+    """Against sorted suffixes, with long ties between places of all residues."""
+    r = np.random.default_rng(6)
+    room, n = 75, 40
+    slot = 31 * 6
+    text = np.zeros(slot * n + 400, np.uint8)
+    for k in range(n):
+        own = np.tile(r.integers(97, 99, size=r.integers(1, 4)), 80)[:75]
+        own[r.integers(0, 75, size=k % 3)] = 99
+        text[k * slot + k % 31 : k * slot + k % 31 + 75] = own
+    places = np.array([k * slot + k % 31 + j for k in range(n) for j in range(26)])
+    suffix = [text[p : p + room].tobytes() for p in places]
+    got = [i for own, _ in sub.same_strings(text, places, room) for i in own.tolist()]
+    assert sorted(got) == list(range(len(places)))
+    assert [suffix[i] for i in got] == sorted(suffix)
+    assert len({s[:50] for s in suffix}) < len(suffix) / 2
