@@ -6,14 +6,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the cluster names no folder, as in tests.
+#: Used only on one machine, as in tests, where the session names no folder.
 LOCAL_FALLBACK = "/tmp/checkpoints"
 _WRITTEN: list[tuple[str, str | None]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or a local one where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FALLBACK).rstrip("/")
+    """The folder in spark.checkpoint.dir; where it is unset, a local one on a local master, and an error on a cluster."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or LOCAL_FALLBACK).rstrip("/")
 
 
 def materialize(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
