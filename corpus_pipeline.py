@@ -27,7 +27,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of ten words and more of the benchmark are cut out."""
+    """Windows of ten words of benchmark items, and items of fewer words as a whole, are cut out wherever they occur."""
     return decontaminate.remove_spans(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
