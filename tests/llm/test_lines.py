@@ -35,9 +35,38 @@ def test_empty(spark):
 
 
 def test_perfect_hash():
-    keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64))
+    r = np.random.default_rng(1)
+    keys = np.zeros(5000, lines.KEY)
+    keys["h"], keys["f"] = r.integers(0, 2**63, 5000), r.integers(0, 2**32, 5000)
+    keys["h"][:9] = 77  # equal hashes, different fingerprints
     assert sorted(lines.PerfectHash(keys)(keys).tolist()) == list(range(len(keys)))
     table = lines.LineTable(keys, np.arange(len(keys)))
     assert (table.probe(keys) == np.arange(len(keys))).all()
-    assert (table.probe(keys + np.uint64(1 << 40) + np.uint64(1)) == 0).mean() > 0.99
+    other = keys.copy()
+    other["f"] += np.uint32(1)
+    assert (table.probe(other) == 0).mean() > 0.99
+    again = lines.LineTable.from_bytes(table.to_bytes())
+    assert (again.probe(keys) == np.arange(len(keys))).all() and (again.probe(other) == table.probe(other)).all()
     assert lines.LineTable(keys[:0], np.zeros(0)).probe(keys[:5]).tolist() == [0] * 5
+    with pytest.raises(ValueError, match="distinct"):
+        lines.PerfectHash(np.concatenate([keys, keys[:1]]))
+
+
+def test_other_documents_probe_the_index(spark):
+    """The index is a table by itself: documents that it wasn't built from probe its arrays."""
+    old = spark.createDataFrame([(i, f"Common line\nown {i}\n twice" if i < 2 else f"common LINE \nown {i}") for i in range(6)], "doc_id long, text string")
+    index = lines.line_index(lines.sh.pack(old), 4)
+    assert index.columns == ["bucket", "n_keys", "arrays"] and sum(r["n_keys"] for r in index.collect()) == 8
+    new = lines.sh.pack(spark.createDataFrame([(100, "COMMON line\nnew\ntwice"), (101, "new")], "doc_id long, text string").coalesce(1))
+    bits = {}
+    for r in lines.probe(new, index, 4, least_docs=2).collect():
+        bits[r["bucket"]] = r["reply"]
+    shard = next(lines.sh.unpack(next(iter(new.toArrow().to_batches()))))
+    keys, _ = lines._shard_keys(shard, 1)
+    known = set()
+    for b, own in lines.sh.split_sorted(keys["h"], 4):
+        if b in bits:
+            hit = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=own.stop - own.start).astype(bool)
+            known |= set(keys["h"][own][hit].tolist())
+    want = [lines.bt.span_hash(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)]))[0] for x in (b"common line", b"twice")]
+    assert known == set(want)
