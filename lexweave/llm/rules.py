@@ -1,13 +1,15 @@
 """Quality rules whose cutoffs keep false rejection under a stated risk.
 
 A rule rejects a document whose feature reaches a cutoff. For each stratum
-(language) and rule, one fold of the labelled documents picks the cutoff: the
-most lenient one that catches nearly all the bad documents that any admissible
-cutoff catches. The other fold then certifies it: the exact (Clopper-Pearson)
-upper bound on the share of good documents it rejects must be at most RISK at
-level DELTA divided by the number of rules and strata (Bonferroni). A rule
-that isn't certified in a stratum is off there. So with probability 1 - DELTA
-no rule in any stratum rejects more than RISK of the good documents.
+(language), one fold of the labelled documents picks the cutoff of each rule,
+the most lenient one that catches nearly all the bad documents that any
+admissible cutoff catches, and puts the rules in the order of what they catch.
+The other fold then certifies how many of them, from the first on, may be on:
+for each number of rules the exact (Clopper-Pearson) upper bound on the share
+of good documents that they reject together must be at most RISK at level
+DELTA divided by the number of rules and strata (Bonferroni). So with
+probability 1 - DELTA the rules of no stratum together reject more than RISK
+of its good documents.
 """
 
 from __future__ import annotations
@@ -118,26 +120,32 @@ def upper_bound(k: int, n: int, level: float) -> float:
     return hi
 
 
-def choose(counts: pd.DataFrame, tests: int, risk: float = RISK, delta: float = DELTA) -> dict[str, int]:
-    """Cutoff of each rule (reject from this bin on; BINS + 1: off). counts: rule, fold, quality, bin, n."""
-    out = {}
+def choose(counts: pd.DataFrame, risk: float = RISK) -> dict[str, tuple[int, int]]:
+    """Cutoff of each rule (reject from this bin on; BINS + 1: off) and its place in the order. counts: rule, quality, bin, n of the choosing fold."""
+    cuts, caught = {}, {}
     for rule in RULES:
         own = counts[counts["rule"] == rule]
-        table = np.zeros((2, 2, BINS + 2), np.int64)
-        for f, q, b, n in zip(own["fold"], own["quality"], own["bin"], own["n"], strict=True):
-            table[f, q, b] += n
-        above = table[:, :, ::-1].cumsum(2)[:, :, ::-1]  # rejected by each cutoff
-        good, bad = above[0, 1], above[0, 0]
-        total = max(1, table[0, 1].sum())
-        admissible = np.flatnonzero((good[1:] / total <= risk / 2)) + 1
+        table = np.zeros((2, BINS + 2), np.int64)
+        for q, b, n in zip(own["quality"], own["bin"], own["n"], strict=True):
+            table[q, b] += n
+        bad, good = table[:, ::-1].cumsum(1)[:, ::-1]  # rejected by each cutoff
+        admissible = np.flatnonzero(good[1:] / max(1, table[1].sum()) <= risk / 2) + 1
         best = bad[admissible].max(initial=0)
-        cut = BINS + 1
-        if best > 0:
-            cut = int(admissible[bad[admissible] >= NEARLY * best].max())
-            if upper_bound(int(above[1, 1, cut]), int(table[1, 1].sum()), delta / tests) > risk:
-                cut = BINS + 1
-        out[rule] = cut
-    return out
+        cuts[rule] = int(admissible[bad[admissible] >= NEARLY * best].max()) if best > 0 else BINS + 1
+        caught[rule] = int(bad[cuts[rule]])
+    order = sorted(RULES, key=lambda r: (-caught[r], RULES.index(r)))
+    return {r: (cuts[r], order.index(r)) for r in RULES}
+
+
+def certified(good: np.ndarray, bad: np.ndarray, tests: int, risk: float = RISK, delta: float = DELTA) -> int:
+    """How many rules may be on: of the numbers whose bound is at most risk the one that catches most bad documents.
+
+    good, bad: documents of the certifying fold by the first rule, in order,
+    that rejects them; those that none rejects come last.
+    """
+    rejected, caught = np.cumsum(good), np.cumsum(bad)
+    sure = [k for k in range(1, len(good)) if upper_bound(int(rejected[k - 1]), int(rejected[-1]), delta / tests) <= risk]
+    return max(sure, key=lambda k: (int(caught[k - 1]), -k), default=0)
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -148,16 +156,39 @@ def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")
-    long = rows.join(marks, "doc_id").select("stratum", "quality", fold.alias("fold"), F.explode(F.create_map(*[x for r in RULES for x in (F.lit(r), F.col(f"f_{r}"))])).alias("rule", "bin"))
-    counts = materialize(long.groupBy("stratum", "rule", "fold", "quality", "bin").agg(F.count("*").alias("n")), "rulecounts")
-    strata = max(1, counts.select("stratum").distinct().count())
+    # distinct feature rows with their counts: what both folds need of the labelled documents
+    seen = rows.join(marks, "doc_id").groupBy("stratum", "quality", fold.alias("fold"), *(f"f_{r}" for r in RULES)).agg(F.count("*").alias("n"))
+    seen = materialize(seen, "rulecounts")
+    strata = max(1, seen.select("stratum").distinct().count())
+    long = seen.where("fold = 0").select("stratum", "quality", "n", F.explode(F.create_map(*[x for r in RULES for x in (F.lit(r), F.col(f"f_{r}"))])).alias("rule", "bin"))
+    counts = long.groupBy("stratum", "rule", "quality", "bin").agg(F.sum("n").alias("n"))
+
+    def pick(own: pd.DataFrame) -> pd.DataFrame:
+        cut = choose(own, risk)
+        return pd.DataFrame([[own["stratum"].iloc[0], *(c for c, _ in cut.values()), *(p for _, p in cut.values())]], columns=["stratum", *(f"c_{r}" for r in cut), *(f"p_{r}" for r in cut)])
+
+    # a stratum has at most rules x labels x bins counts
+    columns = [*(f"c_{r}" for r in RULES), *(f"p_{r}" for r in RULES)]
+    picked = materialize(counts.groupBy("stratum").applyInPandas(pick, "stratum string, " + ", ".join(f"{c} int" for c in columns)), "rulecuts")
+    first = F.least(*(F.when(F.col(f"f_{r}") >= F.col(f"c_{r}"), F.col(f"p_{r}")).otherwise(len(RULES)) for r in RULES))
+    judged = _by_stratum(seen.where("fold = 1"), picked).groupBy("stratum", "quality", first.alias("first")).agg(F.sum("n").alias("n"))
+
+    def certify(own: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros((2, len(RULES) + 1), np.int64)
+        for q, k, n in zip(own["quality"], own["first"], own["n"], strict=True):
+            table[q, k] += n
+        return pd.DataFrame([[own["stratum"].iloc[0], certified(table[1], table[0], strata * len(RULES), risk, delta)]], columns=["stratum", "n_on"])
+
+    on = judged.groupBy("stratum").applyInPandas(certify, "stratum string, n_on int")
+    cut = lambda r: F.when(F.col(f"p_{r}") < F.coalesce("n_on", F.lit(0)), F.col(f"c_{r}")).otherwise(BINS + 1)
+    return picked.join(on, "stratum", "left").select("stratum", *(cut(r).alias(f"c_{r}") for r in RULES))
 
-    def run(own: pd.DataFrame) -> pd.DataFrame:
-        cut = choose(own, strata * len(RULES), risk, delta)
-        return pd.DataFrame([[own["stratum"].iloc[0], *cut.values()]], columns=["stratum", *(f"c_{r}" for r in cut)])
 
-    # a stratum has at most rules x folds x labels x bins counts
-    return counts.groupBy("stratum").applyInPandas(run, "stratum string, " + ", ".join(f"c_{r} int" for r in RULES))
+def _by_stratum(rows: DataFrame, cut: DataFrame) -> DataFrame:
+    """Rows with the columns that `cut` has for their stratum, if any. One language may hold most rows: its columns are repeated for each salt."""
+    salted = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*(f"f_{r}" for r in RULES), F.col("stratum"), *([F.col("doc_id")] if "doc_id" in rows.columns else [])), F.lit(SALTS)).cast("int")
+    return rows.withColumn("_salt", salt).join(salted, ["stratum", "_salt"], "left").drop("_salt")
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -168,10 +199,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float =
     """
     stratum = F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))
     rows = materialize(stats(docs).withColumn("stratum", stratum), "rulestats")
-    salt = F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)).cast("int")
-    # one language may hold most rows: its cutoffs are repeated for each salt
-    cut = cutoffs(rows, labels, risk, delta).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = rows.withColumn("_salt", salt).join(cut, ["stratum", "_salt"], "left")
+    joined = _by_stratum(rows, cutoffs(rows, labels, risk, delta))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     by = F.array_compact(F.array(*(F.when(F.col(f"f_{r}") >= F.col(f"c_{r}"), F.lit(r)) for r in RULES)))
     return joined.select(

@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pandas as pd
 
 from lexweave.llm import rules
@@ -42,14 +43,53 @@ def test_upper_bound_is_exact():
     assert rules.upper_bound(5, 5, 0.05) == 1 and rules.upper_bound(0, 0, 0.05) == 1
 
 
-def test_a_cutoff_needs_enough_labels():
-    def counts(n):
-        rows = [("symbols", f, 1, 2, n) for f in (0, 1)] + [("symbols", f, 0, 30, 40) for f in (0, 1)]
-        return pd.DataFrame(rows, columns=["rule", "fold", "quality", "bin", "n"])
+def test_cutoffs_are_lenient_and_in_the_order_of_what_they_catch():
+    rows = [("symbols", 1, 2, 2000), ("symbols", 0, 30, 40), ("upper", 1, 3, 2000), ("upper", 0, 9, 50), ("upper", 1, 9, 5), ("bangs", 1, 4, 2000), ("bangs", 0, 4, 90)]
+    cut = rules.choose(pd.DataFrame(rows, columns=["rule", "quality", "bin", "n"]))
+    assert cut["upper"] == (9, 0) and cut["symbols"] == (30, 1) and cut["bangs"][0] == rules.BINS + 1
 
-    assert rules.choose(counts(100), 12)["symbols"] == rules.BINS + 1
-    assert rules.choose(counts(2000), 12)["symbols"] == 30
-    assert rules.choose(counts(2000), 12)["upper"] == rules.BINS + 1
+
+def test_rules_are_certified_together():
+    """Each of three rules rejects few good documents, all of them too many."""
+    good, bad = np.array([9, 9, 9, 0, 0, 0, 2973]), np.array([50, 40, 30, 0, 0, 0, 10])
+    tests = 6
+    want = [k for k in range(1, 7) if rules.upper_bound(int(good[:k].sum()), 3000, rules.DELTA / tests) <= rules.RISK]
+    assert want == [1] and rules.certified(good, bad, tests) == 1
+    assert rules.certified(np.array([0, 0, 0, 0, 0, 0, 3000]), bad, tests) == 3  # the fewest that catch most
+    assert rules.certified(np.array([0, 0, 0, 0, 0, 0, 100]), bad, tests) == 0  # too few labels
+
+
+def test_verdicts_against_brute_force(spark):
+    """Cutoffs and verdicts from the features alone, in plain Python."""
+    r = random.Random(9)
+    docs = [(i, words(r, 60, 9000) + " !" * r.choice([0, 0, 0, 1, 2]), r.choice(["en", "fr"]), "s", 0, 0, 0, "", "", "", 0) for i in range(4000)]
+    docs += [(5000 + i, words(r, 50, 9000).replace("w", "W") + " ***!" * r.choice([0, 20]), r.choice(["en", "fr"]), "s", 0, 0, 0, "", "", "", 0) for i in range(600)]
+    labels = [(d[0], int(d[0] < 5000), 0) for d in docs]
+    given, table = frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    fold = {x["doc_id"]: x["f"] for x in given.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'fold'), 2) as f").collect()}
+    features = {x["doc_id"]: x.asDict() for x in rules.stats(given).collect()}
+    off, want = rules.BINS + 1, {}
+    for lang in ("en", "fr"):
+        own = {d[0]: features[d[0]] for d in docs if d[2] == lang}
+        share = lambda f, q, hit: sum(1 for d, x in own.items() if fold[d] == f and (d < 5000) == q and hit(x))  # noqa: B023, E731
+        cut, caught = {}, {}
+        for rule in rules.RULES:
+            at = lambda c, rule=rule: lambda x: x[f"f_{rule}"] >= c
+            ok = [c for c in range(1, off + 1) if share(0, True, at(c)) / share(0, True, lambda x: True) <= rules.RISK / 2]
+            bad = {c: share(0, False, at(c)) for c in ok}
+            cut[rule] = max(c for c in ok if bad[c] >= rules.NEARLY * max(bad.values())) if max(bad.values()) else off
+            caught[rule] = bad.get(cut[rule], 0)
+        order = sorted(rules.RULES, key=lambda x: (-caught[x], rules.RULES.index(x)))
+        best = (0, 0)
+        for k in range(1, 7):
+            hit = lambda x, k=k: any(x[f"f_{rule}"] >= cut[rule] for rule in order[:k])  # noqa: B023, E731
+            if rules.upper_bound(share(1, True, hit), share(1, True, lambda x: True), rules.DELTA / 12) <= rules.RISK:
+                best = max(best, (share(1, False, hit), -k))
+        on = order[: -best[1]] if best[1] else []
+        want |= {d: [x for x in rules.RULES if x in on and own[d][f"f_{x}"] >= cut[x]] for d in own}
+    got = rules.judge(given, table).collect()
+    assert {r["doc_id"]: r["rejected_by"] for r in got} == {d: ",".join(x) for d, x in want.items()}
+    assert any(want.values()) and all(r["kept"] == (not r["base_failed"] and not want[r["doc_id"]]) for r in got)
 
 
 def test_labelled_junk_is_rejected_and_clean_texts_stay(spark):
