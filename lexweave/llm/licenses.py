@@ -11,15 +11,18 @@ that it holds and by its length. Grams are compared by hash and by text.
 Base phrases count only where their words stand consecutively, that is where
 one diagonal holds every gram.
 
-Only DataFrame expressions are used. The templates are constants of this
-module, a few hundred grams, and are broadcast.
+Only DataFrame expressions are used. Templates are a table; their grams are
+broadcast where they are few.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexweave.llm.license_texts import TEXTS
 from lexweave.storage import materialize
 
 GAP = 2
@@ -34,50 +37,65 @@ BASE = (
     ("general public license", "gpl"),
     ("all rights reserved", "reserved"),
 )
-#: The method's own templates, from the public texts of these licenses.
-OWN = (
-    ("licensed under the apache license version 2 0", "apache-2.0"),
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
-    ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
-    ("this work is licensed under the gnu general public license version 3", "gpl-3.0"),
-    ("licensed under cc by nc 4 0", "cc-by-nc-4.0"),
-    ("licensed under cc by sa 4 0", "cc-by-sa-4.0"),
-    ("licensed under a creative commons attribution 4 0 international license", "cc-by-4.0"),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
-    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
-)
-TEMPLATES = [(k, "base" if k < len(BASE) else "own", label, phrase.split(" ")) for k, (phrase, label) in enumerate((*BASE, *OWN))]
+#: Grams of templates that are broadcast, about 100 bytes each; with more the join is by shuffle.
+BROADCAST_GRAMS = 200_000
+
+
+def _words(text: str) -> list[str]:
+    """What `words` gives, for the templates of this module."""
+    return re.findall("[0-9a-z]+", text.lower())
 
 
-def template_grams(spark: SparkSession) -> DataFrame:
-    """(template, kind, label, n_grams, t, gram, h): a row for each gram."""
-    rows = [(k, kind, label, len(w) - 1, t, f"{w[t]} {w[t + 1]}") for k, kind, label, w in TEMPLATES for t in range(len(w) - 1)]
-    return spark.createDataFrame(rows, "template int, kind string, label string, n_grams int, t int, gram string").withColumn("h", F.xxhash64("gram"))
+TEMPLATES = [(k, "base" if k < len(BASE) else "own", label, w) for k, (label, w) in enumerate([(label, phrase.split(" ")) for phrase, label in BASE] + [(label, _words(text)) for label, text in TEXTS])]
 
 
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def gram_matches(docs: DataFrame) -> DataFrame:
-    """A written table: row, doc_id, n_words, grams (place, gram, hash) that some template has."""
-    spark = docs.sparkSession
-    hashes = [r["h"] for r in template_grams(spark).select("h").distinct().collect()]
-    gram = lambda w, p: F.struct(p.alias("p"), F.concat_ws(" ", w[p], w[p + 1]).alias("gram"))
-    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
-    places = F.when(F.size("w") > 1, F.sequence(F.lit(0), F.size("w") - 2)).otherwise(F.array().cast("array<int>"))
-    # the join's keys, applied before rows are made of the grams
-    own = F.filter(F.transform(places, lambda p: gram(F.col("w"), p)), lambda g: F.xxhash64(g["gram"]).isin(hashes))
-    return materialize(split.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), own.alias("grams")), "grams")
+def _grams(w: Column) -> Column:
+    """(one, two) for every two consecutive words."""
+    last = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(w, F.lit(1), last).alias("one"), F.slice(w, F.lit(2), last).alias("two"))
+
+
+def template_table(spark: SparkSession) -> DataFrame:
+    """(label, text) of the module's own templates."""
+    return spark.createDataFrame(list(TEXTS), "label string, text string")
+
+
+def template_grams(templates: DataFrame) -> DataFrame:
+    """A written table with a row for each gram: template, kind, label, n_grams, t, one, two, h. The base phrases come first.
+
+    Templates (label, text) are numbered by label and text; one of a single
+    word, or of none, is left out.
+    """
+    spark = templates.sparkSession
+    base = spark.createDataFrame([(k, "base", label, w) for k, kind, label, w in TEMPLATES if kind == "base"], "template int, kind string, label string, w array<string>")
+    number = F.row_number().over(Window.orderBy("label", "text")) + len(BASE) - 1  # a template is a license: thousands at most
+    own = templates.where("label IS NOT NULL AND text IS NOT NULL").select("label", "text").distinct().select(number.alias("template"), F.lit("own").alias("kind"), "label", words(F.col("text")).alias("w"))
+    rows = base.unionByName(own).where(F.size("w") > 1).select("template", "kind", "label", (F.size("w") - 1).alias("n_grams"), F.posexplode(_grams(F.col("w"))).alias("t", "g"))
+    return materialize(rows.select("template", "kind", "label", "n_grams", "t", F.col("g.one").alias("one"), F.col("g.two").alias("two"), F.xxhash64("g.one", "g.two").alias("h")), "templates")
+
+
+def gram_matches(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """A written table: row, doc_id, n_words, p (place), and the template's columns of each gram that some template has.
+
+    A document's first gram, or none if it has a single word, is always there,
+    with null template columns if no template has it.
+    """
+    few = grams.count() <= BROADCAST_GRAMS
+    split = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("w"))
+    each = split.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), F.posexplode_outer(_grams(F.col("w"))).alias("p", "g"))
+    each = each.select("row", "doc_id", "n_words", "p", F.xxhash64("g.one", "g.two").alias("h"), F.col("g.one").alias("one"), F.col("g.two").alias("two"))
+    joined = each.join(F.broadcast(grams) if few else grams, ["h", "one", "two"], "left")
+    return materialize(joined.where("template IS NOT NULL OR coalesce(p, 0) = 0").select("row", "doc_id", "n_words", "p", "template", "kind", "label", "n_grams", "t"), "grams")
 
 
 def spans(matches: DataFrame) -> DataFrame:
     """Merged diagonals: row, template, kind, label, lo, hi (words), share, exact starts of base phrases."""
     voted = (
-        matches.select("row", F.explode("grams").alias("g"))
-        .select("row", "g.p", "g.gram", F.xxhash64("g.gram").alias("h"))
-        .join(F.broadcast(template_grams(matches.sparkSession)), ["h", "gram"])
+        matches.where("template IS NOT NULL")
         .groupBy("row", "template", "kind", "label", "n_grams", (F.col("p") - F.col("t")).alias("diagonal"))
         .agg(F.count("*").alias("votes"), F.min("p").alias("lo"), F.max("p").alias("hi"), F.collect_set("t").alias("ts"))
     )
@@ -96,14 +114,15 @@ def spans(matches: DataFrame) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     """One row for each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     score is the largest share of a template that one merged span holds, 0
     without any. A null or empty text has no words and empty label lists. Rows
-    with the same doc_id are scanned apart. Other columns are ignored.
+    with the same doc_id are scanned apart. Other columns are ignored. templates:
+    (label, text) of licenses, those of license_texts if not given.
     """
-    matches = gram_matches(docs)
+    matches = gram_matches(docs, template_grams(template_table(docs.sparkSession) if templates is None else templates))
     is_base = F.col("kind") == "base"
     verified = ~is_base & (F.col("share") >= LEAST_SHARE) & (F.col("hi") - F.col("lo") <= 2 * (F.col("n_grams") + 1))
     per = (
@@ -120,8 +139,9 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<string>")
     base, own = F.coalesce("base", none), F.coalesce("own", none)
-    return matches.join(per, "row", "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    documents = matches.where("coalesce(p, 0) = 0").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"))
+    return documents.join(per, "row", "left").select(
+        "doc_id",
         "n_words",
         F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
         F.col("first_word").cast("long").alias("first_word"),
