@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexweave.llm.sharding import repeated
 from lexweave.storage import materialize
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -69,11 +70,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def take_words(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """Add source_size, target and taken to rows with doc_id, source and size.
+    """Add source_size, target and the words `before` each row in its source's order to rows of doc_id, source, size and n_copies.
 
-    Rows are read several times: give a written table.
+    Rows are distinct and read several times: give a written table. A row's
+    copies follow each other.
     """
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n_copies")).alias("source_size"))
     targets = source_targets(sources, weights, most).withColumn("_source", _name()).drop("source")
     digits, n = 1, rows.count()
     while 16**digits * ROWS_PER_RANGE < n or digits < 2:
@@ -82,38 +84,51 @@ def take_words(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         rows.withColumn("_source", _name())
         .withColumn("_key", _key())
         .withColumn("_range", F.substring("_key", 1, digits))
+        .withColumn("_words", F.col("size") * F.col("n_copies"))
     )
     before = (
         keyed.groupBy("_source", "_range")
-        .agg(F.sum("size").alias("_sum"))
+        .agg(F.sum("_words").alias("_sum"))
         .withColumn("_before", F.sum("_sum").over(Window.partitionBy("_source").orderBy("_range")) - F.col("_sum"))
         .drop("_sum")
     )
-    ordered = Window.partitionBy("_source", "_range").orderBy("_key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    rest = F.floor("target") - F.col("_epochs") * F.col("source_size")
-    last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start")))
+    ordered = Window.partitionBy("_source", "_range").orderBy("_key", "size", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        keyed.withColumn("_upto", F.sum("size").over(ordered))
+        keyed.withColumn("_upto", F.sum("_words").over(ordered))
         .join(before, ["_source", "_range"])
         .join(targets, "_source")
-        .withColumn("_start", F.col("_before") + F.col("_upto") - F.col("size"))
-        .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-        .withColumn("taken", (F.col("_epochs") * F.col("size") + last).cast("long"))
-        .drop("_source", "_key", "_range", "_before", "_upto", "_start", "_epochs")
+        .withColumn("before", F.col("_before") + F.col("_upto") - F.col("_words"))
+        .drop("_source", "_key", "_range", "_before", "_upto", "_words")
     )
 
 
+def _epochs() -> Column:
+    """How often a source is taken as a whole."""
+    return F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+
+
+def _rest() -> Column:
+    """Words of the last epoch from a row and its copies on."""
+    return F.floor("target") - _epochs() * F.col("source_size") - F.col("before")
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The written table of distinct (doc_id, source, size) with n_copies; size: number of words, 0 for a null text."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return materialize(docs.select("doc_id", "source", size.alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("n_copies")), "mix")
+
+
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """One row for each input row: doc_id, size, source_size, target, taken.
 
     size is the number of words, 0 for a null text. A document at a cut gives
-    the words up to the cut. Rows with the same id are ordered by size; a null
-    id is an id. Other columns are ignored; an empty table gives an empty
-    result, and a source without words has target 0.
+    the words up to the cut. Rows with the same id are ordered by size, equal
+    rows follow each other; a null id is an id. Other columns are ignored; an
+    empty table gives an empty result, and a source without words has target 0.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = materialize(docs.select("doc_id", "source", size.alias("size")), "mix")
-    return take_words(rows, weights, most).select("doc_id", "size", "source_size", "target", "taken")
+    rows = repeated(take_words(_counted(docs), weights, most), "n_copies", "_copy")
+    last = F.greatest(F.lit(0), F.least(F.col("size"), _rest() - F.col("_copy") * F.col("size")))
+    return rows.select("doc_id", "size", "source_size", "target", (_epochs() * F.col("size") + last).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -124,22 +139,17 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_
     document (or the rows of one id). Documents without words follow the same
     order. Texts aren't shuffled where the sources' cuts can be broadcast.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = materialize(docs.select("doc_id", "source", size.alias("size")), "mix")
-    taken = take_words(rows, weights, most)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    cuts = (
-        taken.withColumn("_epochs", epochs)
-        .groupBy(_name().alias("_source"))
-        .agg(F.first("_epochs").cast("int").alias("_epochs"), F.max(F.when(F.col("taken") > F.col("_epochs") * F.col("size"), _key())).alias("_cut"))
-    )
+    taken = take_words(_counted(docs), weights, most)
+    last = (F.col("size") > 0) & (_rest() > 0)
+    cuts = taken.groupBy(_name().alias("name")).agg(F.first(_epochs()).cast("int").alias("epochs"), F.max(F.when(last, _key())).alias("cut"))
     cuts = materialize(cuts, "cuts")
     if cuts.count() <= BROADCAST_SOURCES:
         cuts = F.broadcast(cuts)
-    out = docs.withColumn("_source", _name()).join(cuts, "_source")
-    times = F.col("_epochs") + F.when(_key() <= F.col("_cut"), 1).otherwise(0)
-    out = out.withColumn("_times", times).where("_times > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return out.select(*docs.columns)
+    # columns of docs may have any name: theirs go in one struct
+    own = docs.select(F.struct(*docs.columns).alias("doc"), _name().alias("name"), _key().alias("key")).join(cuts, "name")
+    times = F.col("epochs") + F.when(F.col("key") <= F.col("cut"), 1).otherwise(0)
+    out = own.withColumn("times", times).where("times > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return out.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexweave.storage import materialize
+
 #: Rows that one window task of the slot numbering gets, about.
 ROWS_PER_SLOT_RANGE = 50_000
 LEAST_SLOT_RANGES = 64
@@ -73,38 +75,50 @@ def place(docs: DataFrame, key: str, tree: Tree, out: str = "shard") -> DataFram
     racks, shards = _children(tree)
     lit = lambda x: F.array(*map(lit, x)) if isinstance(x, list) else F.lit(x)
     k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    region, rack, shard = F.col("_region"), F.col("_rack"), F.col("_shard")
+    # one struct for the steps of the descent, so that no column of docs is overwritten
+    step = next(x for i in range(len(docs.columns) + 1) if (x := f"_step{i}") not in docs.columns)
+    region, rack, shard = F.col(f"{step}.region"), F.col(f"{step}.rack"), F.col(f"{step}.shard")
     return (
-        docs.withColumn("_region", _descend(k, "region", None, lit([float(sum(r)) for r in racks])))
-        .withColumn("_rack", _descend(k, "rack", region, lit(racks)[region]))
-        .withColumn("_shard", _descend(k, "shard", region * 1000 + rack, lit(shards)[region][rack]))
+        docs.withColumn(step, F.struct(_descend(k, "region", None, lit([float(sum(r)) for r in racks])).alias("region")))
+        .withColumn(step, F.struct(region.alias("region"), _descend(k, "rack", region, lit(racks)[region]).alias("rack")))
+        .withColumn(step, F.struct(region.alias("region"), rack.alias("rack"), _descend(k, "shard", region * 1000 + rack, lit(shards)[region][rack]).alias("shard")))
         .withColumn(out, lit(tree.regions)[region][rack][shard].cast("int"))
-        .drop("_region", "_rack", "_shard")
+        .drop(step)
     )
 
 
-def slots(placed: DataFrame, n_rows: int, order: list[str], shard: str = "shard") -> DataFrame:
-    """Number the rows of each shard from 0 without gaps.
+#: Copies of one row that are made from one array.
+COPIES_PER_ARRAY = 10_000
+
+
+def repeated(rows: DataFrame, count: str, number: str) -> DataFrame:
+    """Each row `count` times, with column `number` from 0; no array holds more than COPIES_PER_ARRAY numbers."""
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(COPIES_PER_ARRAY).cast("long")))
+    return rows.withColumn(number, first).withColumn(number, F.explode(F.sequence(F.col(number), F.least(F.col(number) + COPIES_PER_ARRAY, F.col(count)) - 1)))
+
+
+def slots(counted: DataFrame, ranges: int, order: list[str], shard: str, count: str) -> DataFrame:
+    """Number the rows of each shard from 0 without gaps; counted: distinct rows with how often each comes.
 
-    A shard is split into ranges of the first order column's hash; counts by
-    (shard, range) are summed up over the ranges of a shard (40 short windows)
-    and rows are numbered within a range, so that no task holds a whole shard.
+    A shard is split into ranges by a hash of the order columns; counts by
+    (shard, range) are summed up over the ranges of a shard and rows are
+    numbered within a range, so that no task holds a whole shard. Equal rows
+    are one until they have their numbers.
     """
-    ranges = max(LEAST_SLOT_RANGES, -(-n_rows // ROWS_PER_SLOT_RANGE))
-    part = F.pmod(F.xxhash64(F.coalesce(F.col(order[0]).cast("string"), F.lit("null")), F.lit("slot")), F.lit(ranges)).cast("int")
-    rows = placed.withColumn("_range", part)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order]
+    rows = counted.withColumn("_range", F.pmod(F.xxhash64(*text, F.lit("slot")), F.lit(ranges)).cast("int"))
     before = (
         rows.groupBy(shard, "_range")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum(count).alias("_n"))
         .withColumn("_before", F.sum("_n").over(Window.partitionBy(shard).orderBy("_range")) - F.col("_n"))
         .drop("_n")
     )
-    w = Window.partitionBy(shard, "_range").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    w = Window.partitionBy(shard, "_range").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = rows.withColumn("_upto", F.sum(count).over(w)).join(before, [shard, "_range"])
     return (
-        rows.withColumn("_row", F.row_number().over(w))
-        .join(before, [shard, "_range"])
-        .withColumn("slot", (F.col("_before") + F.col("_row") - 1).cast("long"))
-        .drop("_range", "_row", "_before")
+        repeated(numbered, count, "_copy")
+        .withColumn("slot", (F.col("_before") + F.col("_upto") - F.col(count) + F.col("_copy")).cast("long"))
+        .drop("_range", "_upto", "_before", "_copy", count)
     )
 
 
@@ -115,7 +129,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", t
     bytes; a null text counts as empty. Law `key`: only doc_id and the number
     of shards decide, so equal ids share a shard, whatever their texts. Null
     ids share one shard. Other columns are ignored; an empty table gives an
-    empty result. Rows equal in id, checksum and size take slots in any order.
+    empty result. Rows equal in id, checksum and size take consecutive slots.
     """
     tree = even_tree(shards)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -124,8 +138,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", t
         (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
     )
-    placed = place(place(rows, "doc_id", tree), "doc_id", tree.grown(), "grown_shard")
-    out = slots(placed, docs.count(), ["doc_id", "text_crc32", "size"])
+    order = ["doc_id", "text_crc32", "size"]
+    counted = materialize(rows.groupBy(*order).agg(F.count("*").alias("_count")), "slots")
+    ranges = max(LEAST_SLOT_RANGES, -(-counted.count() // ROWS_PER_SLOT_RANGE))
+    placed = place(place(counted, "doc_id", tree), "doc_id", tree.grown(), "grown_shard")
+    out = slots(placed, ranges, order, "shard", "_count")
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
