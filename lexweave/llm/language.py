@@ -76,27 +76,10 @@ class Centroids:
     far: np.ndarray  # by centroid: the largest distance that isn't rejected
 
     @classmethod
-    def fit(cls, langs: list[str], counts: np.ndarray, k: int = CENTROIDS, rounds: int = 12) -> Centroids:
-        idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 0.1
-        x, tags = unit(np.log1p(counts) * idf), np.array(langs)
-        names, points, far = [], [], []
-        for lang in sorted(set(langs)):
-            own = x[tags == lang]
-            # the first is the mean's nearest, each further one the farthest from those before
-            c = [own[np.argmax(own @ unit(own.mean(0)))]]
-            while len(c) < min(k, len(own)):
-                c.append(own[np.argmin(np.max(own @ np.array(c).T, axis=1))])
-            c = np.array(c)
-            for _ in range(rounds):
-                near = np.argmax(own @ c.T, axis=1)
-                c = np.array([unit(own[near == i].sum(0)) if (near == i).any() else c[i] for i in range(len(c))])
-            near = np.argmax(own @ c.T, axis=1)
-            d = 1 - np.max(own @ c.T, axis=1)
-            for i in range(len(c)):
-                names.append(lang)
-                points.append(c[i])
-                far.append(np.quantile(d[near == i], 1 - REJECT) if (near == i).any() else 0.0)
-        return cls(idf, names, np.array(points), np.array(far))
+    def of(cls, idf: np.ndarray, by_lang: dict[str, tuple[np.ndarray, np.ndarray]]) -> Centroids:
+        """by_lang: what `cluster` gives for each language."""
+        names = [lang for lang in sorted(by_lang) for _ in by_lang[lang][1]]
+        return cls(idf, names, np.concatenate([by_lang[x][0] for x in sorted(by_lang)]), np.concatenate([by_lang[x][1] for x in sorted(by_lang)]))
 
     def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroid of each row and the cosine."""
@@ -105,6 +88,27 @@ class Centroids:
         return best, np.clip(cos[np.arange(len(best)), best], 0, 1)
 
 
+def inverse_frequency(n: int, having: np.ndarray) -> np.ndarray:
+    """Weights of grams that `having` of n sampled documents have."""
+    return np.log((1 + n) / (1 + having)) + 0.1
+
+
+def cluster(counts: np.ndarray, idf: np.ndarray, k: int = CENTROIDS, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of one language's documents by spherical k-means, and the largest distance from each that isn't rejected."""
+    own = unit(np.log1p(counts) * idf)
+    # the first is the mean's nearest, each further one the farthest from those before
+    c = [own[np.argmax(own @ unit(own.mean(0)))]]
+    while len(c) < min(k, len(own)):
+        c.append(own[np.argmin(np.max(own @ np.array(c).T, axis=1))])
+    c = np.array(c)
+    for _ in range(rounds):
+        near = np.argmax(own @ c.T, axis=1)
+        c = np.array([unit(own[near == i].sum(0)) if (near == i).any() else c[i] for i in range(len(c))])
+    near = np.argmax(own @ c.T, axis=1)
+    d = 1 - np.max(own @ c.T, axis=1)
+    return c, np.array([np.quantile(d[near == i], 1 - REJECT) if (near == i).any() else 0.0 for i in range(len(c))])
+
+
 def held_out() -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
@@ -118,7 +122,12 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
 
 
 def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Centroids | None:
-    """Fit on at most `most` documents of each language outside the held-out fold; None if there are none."""
+    """Fit on at most `most` documents of each language outside the held-out fold; None if there are none.
+
+    Document frequencies are summed up in the cluster, and each language is
+    clustered by a task of its own: the driver gets centroids only. Of rows of
+    one id and language the one of the least counts is taken.
+    """
     # one document of each language and slot, the one of the least hash: an aggregate that is summed up before the shuffle
     h = F.xxhash64("doc_id", F.lit("lang"))
     picked = (
@@ -140,11 +149,31 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Centroids | None:
     picked = materialize(picked, "langsample")
     # `most` rows a language: with an odd number of languages the sample is joined by shuffle
     picked = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
-    rows = texts.join(picked, ["doc_id", "lang"], "left_semi").mapInArrow(run, "doc_id long, lang string, counts binary").collect()
-    if not rows:
+    rows = texts.join(picked, ["doc_id", "lang"], "left_semi").mapInArrow(run, "doc_id long, lang string, counts binary")
+    rows = materialize(rows.groupBy("lang", "doc_id").agg(F.min("counts").alias("counts")), "langcounts")
+
+    def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, own = 0, np.zeros(DIM, np.int64)
+        for batch in batches:
+            for c in batch.column("counts").to_pylist():
+                n, own = n + 1, own + (np.frombuffer(c, "<u4") > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(-1, DIM), pa.int32()), pa.array([n, *own.tolist()], pa.int64())], ["gram", "n"])
+
+    # DIM + 1 sums
+    sums = {r["gram"]: r["n"] for r in rows.select("counts").mapInArrow(having, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    if not sums.get(-1):
         return None
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"] if r["doc_id"] is not None else -1, r["counts"]))
-    return Centroids.fit([r["lang"] for r in rows], np.array([np.frombuffer(r["counts"], "<u4") for r in rows]))
+    idf = inverse_frequency(sums[-1], np.array([sums[k] for k in range(DIM)]))
+
+    def fit(table: pa.Table) -> pa.Table:
+        # by id, so that ties fall alike each time
+        table = table.sort_by("doc_id")
+        c, far = cluster(np.array([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]), idf)
+        return pa.table({"lang": table.column("lang")[:1], "points": pa.array([c.astype("<f8").tobytes()], pa.binary()), "far": pa.array([far.astype("<f8").tobytes()], pa.binary())})
+
+    # at most `most` rows a language; CENTROIDS vectors of each come back
+    found = rows.groupBy("lang").applyInArrow(fit, "lang string, points binary, far binary").collect()
+    return Centroids.of(idf, {r["lang"]: (np.frombuffer(r["points"], "<f8").reshape(-1, DIM), np.frombuffer(r["far"], "<f8")) for r in found})
 
 
 def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
