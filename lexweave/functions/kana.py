@@ -7,6 +7,7 @@ place of a segment or not). The tables are made from the kana rows.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import cache
 
@@ -247,22 +248,46 @@ def rules(kango: bool, medial: bool) -> dict[str, list[str]]:
     return out
 
 
+# Kana before which a Sino-Japanese t or k doubles.
+_DOUBLED_BEFORE = "かきくけこさしすせそたちつてとぱぴぷぺぽ"
+
+
+@cache
+def contextual(kango: bool, first_segment: bool) -> list[tuple[re.Pattern, dict[str, list[str]]]]:
+    """Rules by place, for kana that `rules` has none for: where they hold, and the spellings by kana; the first that holds counts."""
+    voiced = {"ぢ": "じ", "づ": "ず"}
+    kept = {c: [c, other] for c, other in voiced.items()}
+    out = [(re.compile("(?<=[ちつ])[ぢづ]"), kept)]
+    if not first_segment:
+        out.append((re.compile("^[ぢづ]"), kept))
+    out.append((re.compile("[ぢづ]"), {c: [other, c] for c, other in voiced.items()}))
+    if kango:
+        out.append((re.compile(f"(?<=.)[つく](?=[{_DOUBLED_BEFORE}])"), {c: [c, "っ"] for c in "つく"}))
+    return out
+
+
+@cache
+def large_glides() -> tuple[re.Pattern, dict[str, str]]:
+    """Glides written in large kana, drawn out or not, as one more way to read these kana."""
+    table = {}
+    for i in ROW_I.replace("　", "").replace("い", ""):
+        for y, small in zip("やゆよ", "ゃゅょ", strict=True):
+            table[i + y] = _glide(i, small)
+            if y != "や":
+                table[i + y + "う"] = _glide(i, small) + "う"
+    return re.compile("|".join(sorted(table, key=len, reverse=True))), table
+
+
 def _options(s: str, i: int, kango: bool, first_segment: bool) -> list[tuple[int, list[str]]]:
     table = rules(kango, i > 0)
-    found = next(((n, table[s[i : i + n]]) for n in (3, 2, 1) if len(s) >= i + n and s[i : i + n] in table), None)
-    c, after = s[i], s[i + 1 : i + 2]
-    if found is None and c in "ぢづ":
-        other = "じ" if c == "ぢ" else "ず"
-        stays = (i > 0 and s[i - 1] in "ちつ") or (i == 0 and not first_segment)
-        found = (1, [c, other] if stays else [other, c])
-    if found is None and kango and i > 0 and c in "つく" and after and after in "かきくけこさしすせそたちつてとぱぴぷぺぽ":
-        found = (1, [c, "っ"])
-    out = [found or (1, [c])]
-    if c in ROW_I.replace("　", "") and c != "い" and after and after in "やゆよ":
-        small = {"や": "ゃ", "ゆ": "ゅ", "よ": "ょ"}[after]
-        long = s[i + 2 : i + 3] == "う" and after != "や"
-        out.append((3, [_glide(c, small) + "う"]) if long else (2, [_glide(c, small)]))
-    return out
+    old = next((s[i : i + n] for n in (3, 2, 1) if s[i : i + n] in table), None)
+    if old is not None:
+        out = [(len(old), table[old])]
+    else:
+        out = [(1, next((new[s[i]] for where, new in contextual(kango, first_segment) if where.match(s, i)), [s[i]]))]
+    pattern, glides = large_glides()
+    large = pattern.match(s, i)
+    return [*out, (len(large[0]), [glides[large[0]]])] if large else out
 
 
 def _segment(s: str, kango: bool, first: bool) -> list[str]:

@@ -3,12 +3,16 @@
 `historical` gives a character's readings in old spelling, `on` those of the
 modern character table. A part of the reading fits a character if it is one of
 its readings in old spelling, or spells like one of them today.
+
+The reading is cut by layers: layer i holds the states (place, part before if
+the next character repeats it) that the first i characters can reach, with the
+parts that lead on. States that lead nowhere are taken out from the end, and
+the first way is read off from the front.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -19,11 +23,18 @@ from lexweave.functions.kana import H_HALF, H_PLAIN, PLAIN, ROW_O, VOICED, _unvo
 
 Table = Mapping[str, Iterable[str]]
 LONGEST = 6
+#: Kana that a doubled end may stand for.
+DOUBLED = "つくちきふ"
 _LARGE = str.maketrans("ゃゅょゎ", "やゆよわ")
-_PLAIN_OF = dict(zip(VOICED, PLAIN, strict=True))
-_HALF_OF = dict(zip(H_HALF, H_PLAIN, strict=True))
 _HAN = regex.compile(r"[\p{Han}々]+")
 _FU = regex.compile(f"[^ふ]*[{ROW_O}]ふ")
+#: By voicing setting and by whether the part before ends in n or doubled: first kana and what they may come from.
+_FROM_VOICED, _FROM_HALF = dict(zip(VOICED, PLAIN, strict=True)), dict(zip(H_HALF, H_PLAIN, strict=True))
+_HEADS = {
+    ("any", False): _FROM_VOICED | _FROM_HALF, ("any", True): _FROM_VOICED | _FROM_HALF,
+    ("nasal", False): {}, ("nasal", True): _FROM_VOICED | _FROM_HALF,
+    ("none", False): {}, ("none", True): _FROM_HALF,
+}
 
 
 class Sino:
@@ -32,59 +43,70 @@ class Sino:
     def __init__(self, historical: Table, on: Table | None = None, voicing: str = "any") -> None:
         self.old = {c: {r.translate(_LARGE) for r in rs} for c, rs in historical.items()}
         self.now = {c: {v for r in rs for v in spelling_variants(r, True)} for c, rs in self.old.items()}
-        self.on = {c: set(rs) for c, rs in (on or {}).items()}
+        for c, rs in (on or {}).items():
+            self.now.setdefault(c, set()).update(rs)
         self.voicing = voicing
+        self._today: dict[str, frozenset[str]] = {}
 
-    def _is(self, ch: str, part: str) -> bool:
-        if part in self.old.get(ch, ()):
-            return True
-        return any(v in self.now.get(ch, ()) or v in self.on.get(ch, ()) for v in spelling_variants(part, True))
+    def _spelled_today(self, part: str) -> frozenset[str]:
+        if part not in self._today:
+            self._today[part] = frozenset(spelling_variants(part, True))
+        return self._today[part]
+
+    def _has(self, ch: str, part: str) -> bool:
+        return part in self.old.get(ch, ()) or not self._spelled_today(part).isdisjoint(self.now.get(ch, ()))
 
-    def _bases(self, part: str, first: bool, last: bool, nasal: bool) -> set[str]:
-        """What a part may be without doubling at its end and voicing at its start."""
-        out = {part} | ({part[:-1] + c for c in "つくちきふ"} if not last and part.endswith("っ") else set())
-        if first:
-            return out
-        voiced = {_PLAIN_OF[b[0]] + b[1:] for b in out if b[0] in _PLAIN_OF and (self.voicing == "any" or self.voicing == "nasal" and nasal)}
-        half = {_HALF_OF[b[0]] + b[1:] for b in out if b[0] in _HALF_OF and (nasal or self.voicing == "any")}
-        return out | voiced | half
+    def _roots(self, part: str, first: bool, last: bool, nasal: bool) -> set[str]:
+        """What a part is without doubling at its end and voicing at its start."""
+        ends = [part, *(part[:-1] + c for c in DOUBLED if part[-1] == "っ" and not last)]
+        heads = {} if first else _HEADS[self.voicing, nasal]
+        return {*ends, *(heads[e[0]] + e[1:] for e in ends if e[0] in heads)}
 
     def segment(self, spelling: str, reading: str) -> list[str] | None:
         """The part of each character, the shortest first parts first; None if there is no way."""
         if not _HAN.fullmatch(spelling):
             return None
-        text = "".join(c for c in reading if c not in "-ー・")
-
-        @lru_cache(maxsize=None)
-        def go(i: int, j: int, before: str) -> tuple[str, ...] | None:
-            if i == len(spelling):
-                return () if j == len(text) else None
-            prev = before.translate(_LARGE)
-            for n in range(1, min(LONGEST, len(text) - j) + 1):
-                part = text[j : j + n]
-                forms = [part] + ([part[0] + "わ" + part[2:]] if part[0] in "くぐ" and part[1:2] == "あ" else [])
-                for form in forms:
-                    bases = self._bases(form.translate(_LARGE), i == 0, i == len(spelling) - 1, prev[-1:] in ("ん", "っ"))
-                    same = spelling[i] in align.REPEATS
-                    if any(b in (prev, prev.removesuffix("っ")) if same else self._is(spelling[i], b) for b in bases):
-                        rest = go(i + 1, j + n, form)
-                        if rest is not None:
-                            return (form, *rest)
+        text, end = "".join(c for c in reading if c not in "-ー・"), len(spelling) - 1
+        state = (0, "")
+        layers: list[dict[tuple[int, str], list[tuple[str, tuple[int, str]]]]] = []
+        reached = {state: None}
+        for i, ch in enumerate(spelling):
+            layer = {}
+            for at, before in reached:
+                nasal = at > 0 and text[at - 1] in "んっ"
+                ways = []
+                for n in range(1, min(LONGEST, len(text) - at) + 1):
+                    read = text[at : at + n]
+                    # くあ stands for くわ
+                    for part in (read, read[0] + "わ" + read[2:]) if read[:2] in ("くあ", "ぐあ") else (read,):
+                        roots = self._roots(part.translate(_LARGE), i == 0, i == end, nasal)
+                        wanted = {before, before.removesuffix("っ")}
+                        if (not roots.isdisjoint(wanted)) if ch in align.REPEATS else any(self._has(ch, r) for r in roots):
+                            ways.append((part, (at + n, part.translate(_LARGE) if i < end and spelling[i + 1] in align.REPEATS else "")))
+                layer[at, before] = ways
+            layers.append(layer)
+            reached = dict.fromkeys(s for ways in layer.values() for _, s in ways)
+        alive = {s for s in reached if s[0] == len(text)}
+        for layer in reversed(layers):
+            for s in layer:
+                layer[s] = [w for w in layer[s] if w[1] in alive]
+            alive = {s for s, ways in layer.items() if ways}
+        if state not in alive:
             return None
-
-        found = go(0, 0, "")
-        return None if found is None else list(found)
+        out = []
+        for layer in layers:
+            part, state = layer[state][0]
+            out.append(part)
+        return out
 
     def match(self, spelling: str, reading: str) -> tuple[str, str] | None:
         """(modern reading, the reading with its spelling put right), part by part."""
         parts = self.segment(spelling, reading)
         if parts is None:
             return None
-        modern = ""
-        for p in parts:
-            m = spelling_variants(p.replace("ゎ", "わ"), True)[0]
-            # a final fu of one character's reading is long, after o too
-            modern += m[:-1] + "う" if _FU.fullmatch(p) and m.endswith("ふ") else m
+        # a final fu of one character's reading is long, after o too
+        usual = [(p, spelling_variants(p.replace("ゎ", "わ"), True)[0]) for p in parts]
+        modern = "".join(m[:-1] + "う" if m[-1:] == "ふ" and _FU.fullmatch(p) else m for p, m in usual)
         fixed = iter("".join(parts))
         return modern, "".join(c if c in "-ー・" else next(fixed) for c in reading)
 
@@ -94,8 +116,7 @@ def sino_udf(sino: Sino):
 
     @F.pandas_udf("struct<modern: string, reading: string>")
     def match(spelling: pd.Series, reading: pd.Series) -> pd.DataFrame:
-        rows = [(sino.match(s, r) or (None, None)) if s is not None and r is not None else (None, None) for s, r in zip(spelling, reading, strict=True)]
-        return pd.DataFrame(rows, columns=["modern", "reading"])
+        return pd.DataFrame([m or (None, None) for m in align.once(sino.match, spelling, reading)], columns=["modern", "reading"])
 
     return match
 
@@ -104,18 +125,19 @@ def refuted_udf(sino: Sino, readings: align.Readings):
     """Arrow UDF (spelling, reading) -> whether neither the Sino-Japanese nor any other reading of the characters fits."""
     a = align.Aligner(readings)
 
-    def one(s: str | None, r: str) -> bool:
-        if not s or not _HAN.fullmatch(s):
+    def one(s: str, r: str) -> bool:
+        if not _HAN.fullmatch(s):
             return True
         return sino.match(s, r) is None and not any(a.fits(s, v, 1 if len(s) == 1 else 0) for v in spelling_variants(r, True))
 
     @F.pandas_udf("boolean")
     def refuted(spelling: pd.Series, reading: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None else one(s, r) for s, r in zip(spelling, reading, strict=True)], dtype="boolean")
+        return pd.Series(align.once(one, spelling.where(spelling.notna(), ""), reading), dtype="boolean")
 
     return refuted
 
 
+#: Kana that h-row ones softened to inside a word.
 _TWINS = {"わ": "は", "い": "ひ", "う": "ふ", "え": "へ", "お": "ほ"}
 
 
@@ -128,16 +150,22 @@ def without_h_twins(readings: align.Readings) -> dict[str, tuple[list[str], list
     return out
 
 
+#: Kana with a voicing mark to those without.
+_PLAIN = str.maketrans(*_unvoiced_table())
+
+
 def aligned_with_learned(spelling: str, modern: str, historical: str, own: align.Aligner, learned: align.Aligner, most_left: int = 0) -> bool:
     """Alignment with learned readings, refused where a character that needs one covers a place that modern spelling changed."""
     parts = learned.segment(spelling, modern, most_left)
     if parts is None:
         return False
-    table, at = str.maketrans(*_unvoiced_table()), 0
+    same_length = len(historical) == len(modern)
+    changed = {i for i, (a, b) in enumerate(zip(historical, modern, strict=same_length)) if a != b} if same_length else set(range(len(modern)))
+    covered, at = set(), 0
     for ch, part in parts:
-        bases = [part, part[:1].translate(table) + part[1:]]
-        bases += [b[:-1] + c for b in bases if b.endswith("っ") for c in "つくちき"]
-        if _HAN.fullmatch(ch) and not any(own.fits(ch, b) for b in bases) and (len(historical) != len(modern) or historical[at : at + len(part)] != modern[at : at + len(part)]):
-            return False
+        known = {part, part[:1].translate(_PLAIN) + part[1:]}
+        known |= {k[:-1] + c for k in known if k.endswith("っ") for c in align.DOUBLING}
+        if _HAN.fullmatch(ch) and not any(own.fits(ch, k) for k in known):
+            covered |= set(range(at, at + len(part)))
         at += len(part)
-    return True
+    return changed.isdisjoint(covered)
