@@ -173,17 +173,24 @@ def _shifts() -> np.ndarray:
 
 
 SHIFT = _shifts()
+SHIFT_OF = SHIFT.tolist()
 
 
 class CoverRanks:
-    """Ranks of the suffixes at the cover's places that suffixes at `places` reach; they are compared over `room` bytes."""
+    """Ranks of the suffixes at the cover's places that suffixes at `places` reach; they are compared over `room` bytes.
 
-    def __init__(self, words: np.ndarray, places: np.ndarray, room: int) -> None:
+    pairs: by the shifts of all pairs of residues, else by each residue's own.
+    """
+
+    def __init__(self, words: np.ndarray, places: np.ndarray, room: int, pairs: bool = False) -> None:
         top = int(places.max(initial=0)) + 2 * PERIOD
         wanted = np.zeros(top, bool)
-        for d in np.unique(SHIFT).tolist():
-            reached = places[(SHIFT == d).any(1)[places % PERIOD]] + d
-            wanted[reached[np.isin(reached % PERIOD, COVER)]] = True
+        residues = np.unique(places % PERIOD)
+        for a in residues.tolist() if pairs else ():
+            own = places[places % PERIOD == a]
+            for d in np.unique(SHIFT[a, residues]).tolist():
+                wanted[own + d] = True
+        wanted[places + SHIFT[places % PERIOD, places % PERIOD]] = True
         cover = np.flatnonzero(wanted)
         keys = [words[cover + k].astype(np.uint64) for k in range((room - 1) // 8 * 8, -1, -8)]
         order = np.lexsort(keys)
@@ -200,8 +207,8 @@ class CoverRanks:
 
     def compare(self, i: int, j: int) -> int:
         """Order of two suffixes that agree on PERIOD bytes."""
-        d = SHIFT[i % PERIOD, j % PERIOD]
-        return int(self.rank[i + d] - self.rank[j + d])
+        d = SHIFT_OF[i % PERIOD][j % PERIOD]
+        return int(self.rank[i + d]) - int(self.rank[j + d])
 
 
 def same_strings(text: np.ndarray, places: np.ndarray, room: int, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -226,20 +233,24 @@ def same_strings(text: np.ndarray, places: np.ndarray, room: int, block: int = B
         keys = [words[p + k].astype(np.uint64) for k in (24, 16, 8, 0)]
         o = np.lexsort((own_rank[own], residue[own], *keys))
         p, own = p[o], own[o]
+        keys = [k[o] for k in keys]
         # long ties: suffixes of one residue are in order by their own shift, others by the shift of the pair
         tie = np.ones(max(0, len(p) - 1), bool)
         for k in keys:
-            tie &= k[o][1:] == k[o][:-1]
+            tie &= k[1:] == k[:-1]
         group = np.concatenate([[0], np.cumsum(~tie)]) if len(p) else np.zeros(0, np.int64)
-        for g in np.unique(group[1:][tie & (residue[own][1:] != residue[own][:-1])]).tolist():
-            a, z = np.searchsorted(group, (g, g + 1))
-            mixed = sorted(range(a, z), key=cmp_to_key(lambda x, y, p=p: ranks.compare(int(p[x]), int(p[y]))))
-            p[a:z], own[a:z] = p[mixed], own[mixed]
+        mixed = np.unique(group[1:][tie & (residue[own][1:] != residue[own][:-1])])
+        if len(mixed):
+            wide, at = CoverRanks(words, p[np.isin(group, mixed)], room, pairs=True), p.tolist()
+            for a, z in zip(np.searchsorted(group, mixed), np.searchsorted(group, mixed, "right"), strict=True):
+                order = sorted(range(a, z), key=cmp_to_key(lambda x, y, at=at: wide.compare(at[x], at[y])))
+                p[a:z], own[a:z] = p[order], own[order]
+        # the first 32 bytes agree within a tie; the rest is compared
         agree = np.zeros(len(p), bool)
-        if len(p) > 1:
-            agree[1:] = True
-            for k in (*range(0, MATCH - 8, 8), MATCH - 8):
-                agree[1:] &= words[p[1:] + k] == words[p[:-1] + k]
+        agree[1:] = tie
+        for k in (*range(32, MATCH - 8, 8), MATCH - 8):
+            last = words[p + k].astype(np.uint64)
+            agree[1:] &= last[1:] == last[:-1]
         yield own, agree
         cut = end
 
