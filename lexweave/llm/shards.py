@@ -42,6 +42,7 @@ class Shard:
     null_ids: np.ndarray
     offsets: np.ndarray
     data: np.ndarray
+    extra: bytes | None = None
 
     def rows(self) -> np.ndarray:
         return (np.int64(self.shard) << ROW_BITS) + np.arange(len(self.ids))
@@ -66,11 +67,12 @@ def _stream(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def pack(docs: DataFrame, whole: bool = False) -> DataFrame:
+def pack(docs: DataFrame, whole: bool = False, extra: Callable[[np.ndarray, np.ndarray], bytes] | None = None) -> DataFrame:
     """The written table of shards of docs (doc_id, text); null texts are empty.
 
     whole: all columns but the text, and which texts are null, go along in a
-    column `rest`, for `kept_rows`.
+    column `rest`, for `kept_rows`. extra: what is computed once of a shard's
+    bytes and offsets and kept with it.
     """
     others = [c for c in docs.columns if c != "text"] if whole else []
     carried = [F.col(c).alias(f"_r{k}") for k, c in enumerate(others)] + [F.isnull("text").alias("_null")] if whole else []
@@ -85,9 +87,10 @@ def pack(docs: DataFrame, whole: bool = False) -> DataFrame:
             steps = np.concatenate([np.diff(x[2]) for x in held])
             offsets = np.concatenate([[0], np.cumsum(steps)]).astype("<i8")
             rest = [[compress(_stream(pa.Table.from_batches([x[3] for x in held])))]] if whole else []
+            rest += [[compress(extra(data, offsets))]] if extra else []
             row = [[base], [len(ids)], [len(data)], [compress(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))], [compress(ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8))], [compress(offsets)], [compress(data)], *rest]
             base, held, size = base + 1, [], 0
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * (4 + whole), strict=True)], ["shard", "n", "size", "ids", "null_ids", "offsets", "text"] + ["rest"] * whole)
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * (4 + len(rest)), strict=True)], ["shard", "n", "size", "ids", "null_ids", "offsets", "text"] + ["rest"] * whole + ["extra"] * bool(extra))
 
         for batch in batches:
             data, offsets = bt.utf8(batch.column("text"))
@@ -100,7 +103,7 @@ def pack(docs: DataFrame, whole: bool = False) -> DataFrame:
         if held:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(run, PACKED + ", rest binary" * whole)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(run, PACKED + ", rest binary" * whole + ", extra binary" * bool(extra))
     return _bucketed(rows)
 
 
@@ -118,7 +121,7 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 def unpack(batch: pa.RecordBatch) -> Iterator[Shard]:
     for i in range(len(batch)):
         get = lambda name, kind: np.frombuffer(decompress(batch.column(name)[i].as_py()), kind)  # noqa: B023, E731
-        yield Shard(batch.column("shard")[i].as_py(), get("ids", "<i8"), get("null_ids", np.uint8).astype(bool), get("offsets", "<i8"), get("text", np.uint8))
+        yield Shard(batch.column("shard")[i].as_py(), get("ids", "<i8"), get("null_ids", np.uint8).astype(bool), get("offsets", "<i8"), get("text", np.uint8), decompress(batch.column("extra")[i].as_py()) if "extra" in batch.schema.names else None)
 
 
 def bucket_count(shards: DataFrame, share: float) -> int:

@@ -116,6 +116,23 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> Stretches:
     return Stretches(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
+def packed_cuts(data: np.ndarray, offsets: np.ndarray) -> bytes:
+    """Where a shard's stretches are, in six bytes each before compression."""
+    s = stretches(data, offsets)
+    gap = s.p0 - np.concatenate([[0], s.p1])[:-1]  # from the last window of the stretch before
+    return gap.astype("<u4").tobytes() + (s.p1 - s.p0).astype(np.uint8).tobytes() + (s.at - s.p0).astype(np.uint8).tobytes()
+
+
+def known_stretches(s: sh.Shard) -> Stretches:
+    """The stretches of a shard from its packed cuts; only their own grams are hashed."""
+    n = len(s.extra) // 6
+    gap, windows, lead = (np.frombuffer(s.extra, kind, n, at).astype(np.int64) for kind, at in (("<u4", 0), (np.uint8, 4 * n), (np.uint8, 5 * n)))
+    p1 = np.cumsum(gap + windows)
+    p0, words = p1 - windows, bt.words_at(s.data)
+    sig = stretch_hash(*(gram_hash(words, p) for p in (p0, p0 + GRAM, p1 + MATCH - GRAM)), lead, windows + 1)
+    return Stretches(p0, p1, p0 + lead, bt.mix(gram_hash(words, p0 + lead)), np.searchsorted(s.offsets, p0, "right") - 1, sig)
+
+
 def _minimizers(s: Stretches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes in order, whether more than one row has them, and each stretch's number among them."""
     keys, back = np.unique(s.hash, return_inverse=True)
@@ -305,17 +322,17 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
     larger than all others. Other columns are ignored; an empty table gives an
     empty result.
     """
-    packed = sh.pack(docs)
+    packed = sh.pack(docs, extra=packed_cuts)
     few, many = sh.bucket_count(packed, 0.35), sh.bucket_count(packed, 1.0)
 
     def ask_repeated(s: sh.Shard) -> Iterator[tuple[int, bytes]]:
-        keys, both, _ = _minimizers(stretches(s.data, s.offsets))
+        keys, both, _ = _minimizers(known_stretches(s))
         yield from sh.hash_question(keys, both, few)
 
     repeated = materialize(sh.answer(sh.ask(packed, ask_repeated), sh.repeated_answer), "repeated")
 
     def ask_same(s: sh.Shard, replies: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
-        x, ids = stretches(s.data, s.offsets), _ids(s)
+        x, ids = known_stretches(s), _ids(s)
         g = _groups(x, ids, _repeated(x, replies, few))
         one = g.first
         for b, own in sh.split_sorted(x.hash[one], many):
@@ -344,7 +361,7 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
     answers = repeated.unionByName(same.withColumn("bucket", (F.col("bucket") + sh.SECOND).cast("int")))
 
     def apply(s: sh.Shard, replies: dict[int, bytes]) -> pa.RecordBatch:
-        x, ids = stretches(s.data, s.offsets), _ids(s)
+        x, ids = known_stretches(s), _ids(s)
         g = _groups(x, ids, _repeated(x, replies, few))
         windows = x.p1 - x.p0 + 1
         # bits by group, in the order they were asked

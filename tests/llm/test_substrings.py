@@ -92,3 +92,12 @@ def test_suffixes_come_in_true_order():
     assert sorted(got) == list(range(len(places)))
     assert [suffix[i] for i in got] == sorted(suffix)
     assert len({s[:50] for s in suffix}) < len(suffix) / 2
+
+
+def test_cuts_give_the_stretches_back():
+    texts = ["", "a" * 200, "short", "".join(chr(97 + (k * k) % 23) for k in range(3000)), "é" * 60, "x" * 49]
+    data, offsets = sub.bt.utf8(sub.pa.array(texts))
+    want = sub.stretches(data, offsets)
+    got = sub.known_stretches(sub.sh.Shard(0, np.arange(6), np.zeros(6, bool), offsets, data, sub.packed_cuts(data, offsets)))
+    assert all((getattr(got, f) == getattr(want, f)).all() for f in ("p0", "p1", "at", "hash", "row", "sig")) and len(want.at) > 100
+    assert len(sub.packed_cuts(data[:0], offsets[:1])) == 0
