@@ -50,7 +50,7 @@ def apply_judgments(clean: DataFrame, judged: DataFrame) -> DataFrame:
 def carry_over(sample: DataFrame, known: DataFrame) -> DataFrame:
     """Sample rows with the last earlier judgment and note of their (id, skk_key, notation), else empty cells. known has file_ord."""
     keys = ["id", "skk_key", "notation"]
-    last = known.where(F.col("judgment") != "").groupBy(*keys).agg(F.max_by(F.struct("judgment", "note"), "file_ord").alias("_j"))
+    last = known.where(F.col("judgment").isin("o", "x")).groupBy(*keys).agg(F.max_by(F.struct("judgment", "note"), "file_ord").alias("_j"))
     x = sample.join(last, keys, "left")
     return x.withColumn("judgment", F.coalesce("_j.judgment", F.lit(""))).withColumn("note", F.coalesce("_j.note", F.lit(""))).drop("_j")
 

@@ -14,13 +14,14 @@ from pyspark.sql.types import BooleanType
 
 from lexweave.functions import align, kana
 from lexweave.functions.transcription import transcription_forms
+from lexweave.operators import aligning, matching
 from lexweave.operators import lexicon as lx
-from lexweave.operators import matching
 from lexweave.operators import resolve as rs
 from lexweave.sources.lexicons import loose_key
 
 VOICED = f"[{kana.VOICED}{kana.H_HALF}]"
 FULL_REASONS = ("align-single-notation", "align-single-reading", "align-rendaku", "align-handakuten")
+# Fixed value: the reason of a fix by vote, as stored tables have it.
 VOTED = "三系統の OCR の多数決"
 
 
@@ -109,15 +110,6 @@ def same_notation(a: Column, b: Column, variants: dict[str, str], new: dict[str,
     return (F.size(x) == F.size(y)) & F.forall(ok, lambda v: v)
 
 
-# N-row kana after n, and the vowels they come from.
-_RENJO = str.maketrans("なにぬねの", "あいうえお")
-
-
-def unlinked(reading: str) -> str:
-    """Without liaison: the vowel back after n."""
-    return "".join(c.translate(_RENJO) if i and reading[i - 1] == "ん" else c for i, c in enumerate(reading))
-
-
 def with_liaison(entries: DataFrame, lex: rs.Lexicons) -> DataFrame:
     """Entries (id, notation, modern) with the liaison that the lexicon has for a part of the spelling: heads, tails, and inner parts that stand once."""
     parts = lx.part_words(entries.select(rs.new_form(F.col("notation"), lex.new).alias("w")).unionByName(entries.select(F.col("notation").alias("w"))).distinct(), "w")
@@ -129,22 +121,11 @@ def with_liaison(entries: DataFrame, lex: rs.Lexicons) -> DataFrame:
     x = x.withColumn("_new", rs.new_form(F.col("notation"), lex.new)).join(new, "_new", "left")
 
     @F.pandas_udf("string")
-    def linked(modern: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(m, *lists):
-            every = sorted({(p["late"], p["len"], p["place"], p["r"]) for ps in lists if ps is not None for p in ps})
-            for late, _, place, r in every:
-                plain = unlinked(r)
-                if place == "head" and m.startswith(plain):
-                    m = r + m[len(plain) :]
-                elif place == "tail" and m.endswith(plain):
-                    m = m[: -len(plain)] + r
-                elif late and m.count(plain) == 1:
-                    m = m.replace(plain, r)
-            return m
-
-        return pd.Series([None if m is None else one(m, p, q) for m, p, q in zip(modern, a, b, strict=True)])
-
-    return x.withColumn("modern", linked("modern", "ps", "_ps")).drop("ps", "_ps", "_new")
+    def put(modern: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        every = lambda *lists: sorted({(p["late"], p["len"], p["place"], p["r"]) for ps in lists if ps is not None for p in ps})
+        return pd.Series([None if m is None else aligning.linked(m, every(p, q)) for m, p, q in zip(modern, a, b, strict=True)])
+
+    return x.withColumn("modern", put("modern", "ps", "_ps")).drop("ps", "_ps", "_new")
 
 
 def fix_ra(entries: DataFrame, lex: rs.Lexicons) -> DataFrame:

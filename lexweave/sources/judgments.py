@@ -26,9 +26,9 @@ def judged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def known_judgments(rows: DataFrame) -> DataFrame:
-    """The last judgment of each (id, skk_key, notation); rows without one don't count."""
+    """The last judgment, o or x, of each (id, skk_key, notation), by file and number; other rows don't count."""
     keys = ["id", "skk_key", "notation"]
-    last = rows.where(F.col("judgment") != "").groupBy(*keys).agg(F.max_by(F.struct("judgment", "note"), F.struct("file_ord", "no")).alias("j"))
+    last = rows.where(F.col("judgment").isin("o", "x")).groupBy(*keys).agg(F.max_by(F.struct("judgment", "note"), F.struct("file_ord", F.col("no").try_cast("long"))).alias("j"))
     return last.select(*keys, "j.judgment", "j.note")
 
 

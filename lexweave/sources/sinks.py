@@ -78,10 +78,10 @@ def write_text(lines: DataFrame, path: str) -> None:
 TSV = ("id", "status", "method", "skk_key", "modern", "reading", "notation", "shinjitai", "pos_raw", "order", "reason", "source_reading", "source_notation", "fixes", "line", "crop")
 
 
-def crop_url(base: str, pid: Column, frame: Column, bbox: Column, pad: int = 8, most_height: int = 400) -> Column:
-    """The address of a padded crop of a page image, of limited height."""
+def crop_url(base: str, pid: Column, frame: Column, bbox: Column, pad: int = 20, most_height: int = 400) -> Column:
+    """The address of a padded crop of a page image; the height is limited before it is padded."""
     x, y = F.greatest(bbox["x"] - pad, F.lit(0)), F.greatest(bbox["y"] - pad, F.lit(0))
-    return F.format_string(f"{base}/%s/R%07d/%d,%d,%d,%d/full/0/default.jpg", pid, frame, x, y, bbox["width"] + 2 * pad, F.least(bbox["height"] + 2 * pad, F.lit(most_height)))
+    return F.format_string(f"{base}/%s/R%07d/%d,%d,%d,%d/full/0/default.jpg", pid, frame, x, y, bbox["width"] + 2 * pad, F.least(bbox["height"], F.lit(most_height)) + 2 * pad)
 
 
 def tsv_rows(clean: DataFrame, crop: Column) -> DataFrame:

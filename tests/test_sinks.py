@@ -30,7 +30,7 @@ def test_report_and_tsv(spark):
     got = {(r["table"], r["value"]): (r["n"], r["share"]) for r in sinks.report(clean).collect()}
     assert got["status", "accepted"] == (2, 0.5) and got["method", "L"] == (2, 0.5) and got["unverified", "-"] == (1, 0.25) and got["excluded", "bad"] == (1, 0.25) and got["fix", "reading: x"] == (2, 0.5)
     cells = sinks.tsv_rows(clean, sinks.crop_url("u", F.col("pid"), F.col("frame"), F.col("bbox"))).where("id = '2'").first()
-    assert cells["source_reading"] == "a b" and cells["line"] == "l m" and cells["notation"] == "" and cells["fixes"] == "reading:a→b(x); notation:c→d(y)" and cells["crop"] == "u/v/R0000004/0,12,26,400/full/0/default.jpg"
+    assert cells["source_reading"] == "a b" and cells["line"] == "l m" and cells["notation"] == "" and cells["fixes"] == "reading:a→b(x); notation:c→d(y)" and cells["crop"] == "u/v/R0000004/0,0,50,440/full/0/default.jpg"
 
 
 def test_sections(spark):
