@@ -7,26 +7,22 @@ from pyspark.sql import functions as F
 from lexweave.functions import align, kana
 from lexweave.functions import text as t
 from lexweave.operators import dictionary, layout, order, quality
+from lexweave.plans.fixtures import READINGS, _values
 from lexweave.plans.registry import query
 
 
-def _values(rows, names: str) -> str:
-    cell = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) v({names})"
-
-
 HEADS = (
-    ("あし-つぎ足繼(名)高くて、背丈の", "あし-つぎ", "足繼", False, "名"),
-    ("おもふ 思(他動四) 心に", "おもふ", "思", False, "他動四"),
-    ("あいきゃう一愛敬(名)", "あいきゃう", "愛敬", True, "名"),
-    ("いちぢ一時(名)", "いちぢ", "一時", False, "名"),
-    ("ああ(感)", "ああ", None, False, "感"),
+    ("かは-ぎし川岸(名)川の岸。", "かは-ぎし", "川岸", False, "名"),
+    ("ながむ 眺(他動下二) 遠く", "ながむ", "眺", False, "他動下二"),
+    ("しんらい一信頼(名)", "しんらい", "信頼", True, "名"),
+    ("いちば一場(名)", "いちば", "一場", False, "名"),
+    ("おお(感)", "おお", None, False, "感"),
 )
 
 
 @query(_values(HEADS, "line, reading, notation, kango, pos"))
 def parse_heads(spark, sf):
-    x = spark.createDataFrame([(r[0],) for r in (*HEADS, ("これは見出しではない",), ("アア(名)",))], "line string")
+    x = spark.createDataFrame([(r[0],) for r in (*HEADS, ("川の岸に立つ",), ("カハ(名)",))], "line string")
     return x.select("line", kana.parse_head(F.col("line")).alias("h")).where("h IS NOT NULL").select("line", "h.*")
 
 
@@ -60,12 +56,7 @@ def modern_spelling(spark, sf):
     return x.select("reading", "kango", kana.modern_variants("reading", "kango")[0].alias("modern"))
 
 
-#: A few characters' Sino-Japanese and native readings, for the alignment examples.
-READINGS = {
-    "足": (["そく"], ["あし", "たる"]), "場": (["じょう"], ["ば"]), "明": (["めい", "みょう"], ["あける", "あかるい"]), "方": (["ほう"], ["かた"]), "留": (["りゅう", "る"], ["とめる", "とまる"]), "愛": (["あい"], []),
-    "國": (["こく"], ["くに"]), "牙": (["が"], ["きば"]), "飛": (["ひ"], ["とぶ"]), "出": (["しゅつ"], ["でる", "だす"]), "貝": (["ばい"], ["かい"]), "柱": (["ちゅう"], ["はしら"]), "學": (["がく"], ["まなぶ"]), "校": (["こう"], []), "時": (["じ"], ["とき"]),
-}
-ALIGNED = (("足場", "あしば", True), ("明方", "あけがた", True), ("足留", "あしどめ", True), ("愛國", "あいこく", True), ("牙飛出", "きばとびで", True), ("貝柱", "かいのはしら", True), ("學校", "がっこう", True), ("足場", "あしもと", False), ("時々", "ときどき", True))
+ALIGNED = (("明場", "あけば", True), ("國方", "くにがた", True), ("方留", "かたどめ", True), ("愛校", "あいこう", True), ("出足", "であし", True), ("柱時", "はしらどき", True), ("國柱", "くにのはしら", True), ("學國", "がっこく", True), ("明場", "あけもと", False), ("方々", "かたがた", True))
 
 
 @query(_values(ALIGNED, "notation, reading, fits"))
@@ -74,7 +65,8 @@ def align_readings(spark, sf):
     return x.select("notation", "reading", align.fits_udf(READINGS)("notation", "reading").alias("fits"))
 
 
-OUTLIER_KEYS = ("いきけいせい", "いきこくもん", "いきこと", "いさす", "いきこみ", "いきこむ", "いさすたま", "いきさし", "いきさつ", "いきしに", "いきしひき")
+#: Sixty keys in order, of which every seventh was moved by nine places.
+OUTLIER_KEYS = tuple(f"{'あかさたなはまやらわ'[(k + (9 if k % 7 == 3 else 0)) // 6 % 10]}{'いきしちにひ'[(k + (9 if k % 7 == 3 else 0)) % 6]}" for k in range(60))
 
 
 @query(f"""

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from lexweave.plans import aggregate_queries, domain_queries, join_queries, sample_queries, text_queries, window_queries  # noqa: F401
+    from lexweave.plans import aggregate_queries, domain_queries, entry_queries, join_queries, sample_queries, text_queries, window_queries  # noqa: F401
 
 
 _load()

@@ -1,7 +1,7 @@
 import pytest
 
 from lexweave.functions.register import register_all
-from lexweave.plans.domain_queries import READINGS
+from lexweave.plans.fixtures import READINGS
 from lexweave.sources import ingest
 
 

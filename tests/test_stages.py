@@ -7,7 +7,7 @@ from lexweave.functions import kana
 from lexweave.functions.transcription import transcriptions
 from lexweave.operators import resolve as rs
 from lexweave.operators import stages as st
-from lexweave.plans.domain_queries import READINGS
+from lexweave.plans.fixtures import READINGS
 from lexweave.sources import lexicons
 
 KIND = "id string, status string, method string, reason string, reading string, notation string, skk_key string, modern string, source struct<reading:string>, ndl struct<reading:string>, fixes array<struct<field:string,from:string,to:string,reason:string>>"
