@@ -60,3 +60,21 @@ def test_stages(spark, tmp_path):
 
 def cp_schema(rows):
     return rows.drop("shard").schema
+
+
+def _written(spark, path, docs, items):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, score string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_few_rows(spark, tmp_path):
+    """Blanks, copies with and without an id, and a one-word item, one row a partition."""
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = [(1, text, "en", "s", 0, "x"), (2, text, "en", "s", 0, "x"), (None, text, None, None, None, None), (3, " ", "en", "s", 1, ""), (4, None, None, "t", None, None), (5, "only hello", "fr", "t", 3, "y"), (6, "hello", "fr", "t", 3, "y")]
+    got = cp.run(spark, _written(spark, tmp_path / "few", docs, [(1, "hello")])).collect()
+    by = Counter(r["doc_id"] for r in got)
+    assert None not in by and 2 not in by and 6 not in by and by[1] >= 1  # copies of 1 go, and a text of nothing but the item
+    assert {r["text"].strip() for r in got if r["doc_id"] == 5} <= {"only"}
+    assert cp.run(spark, _written(spark, tmp_path / "none", [], [])).collect() == []
