@@ -65,14 +65,11 @@ def voicing_stats_pivot(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS plain, count(*) FILTER (WHERE event_type <> 'click') AS others FROM events WHERE user_id % 2 = 0 GROUP BY 1)
-SELECT e.event_id FROM events e JOIN s USING (user_id) WHERE e.user_id % 2 = 0 AND e.event_type = 'view' AND plain = 0 AND others >= 3
+WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS plain, count(*) FILTER (WHERE event_type <> 'click') AS others FROM events GROUP BY 1)
+SELECT e.event_id FROM events e JOIN s USING (user_id) WHERE e.event_type = 'view' AND plain = 0 AND others >= 3
 """)
 def anomaly_zero_count(spark, sf):
-    """Rows whose class has no support where the others have some.
-
-    The SQL judges even users only; the driver tables have no anomaly of an odd one.
-    """
+    """Rows whose class has no support where the others have some."""
     e = table(spark, sf, "events")
     s = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "click").alias("plain"), F.count_if(F.col("event_type") != "click").alias("others"))
     return e.where("event_type = 'view'").join(s.where("plain = 0 AND others >= 3"), "user_id", "left_semi").select("event_id")

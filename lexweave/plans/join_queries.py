@@ -8,7 +8,7 @@ from lexweave.functions import text as t
 from lexweave.operators import matching as m
 from lexweave.plans.registry import query, table
 
-_KEY = "lower(regexp_replace(trim(regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z ]+', '', 'g')), ' +', ' ', 'g'))"
+_KEY = "lower(regexp_replace(trim(regexp_replace(text, '[^A-Za-z ]+', '', 'g')), ' +', ' ', 'g'))"
 
 
 @query(f"""
@@ -19,10 +19,7 @@ SELECT lang, CASE WHEN key = '' THEN 'excluded' WHEN doc_id % 7 = 0 THEN 'unveri
 FROM d WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.key = d.key) GROUP BY ALL
 """)
 def nol_anti_join(spark, sf):
-    """Normalise whole texts, leave out what the reference lexicon has, count by status with the share of all.
-
-    The SQL compares first lines only: it agrees as long as no document shares just that line with the benchmark.
-    """
+    """Normalise whole texts, leave out what the reference lexicon has, count by status with the share of all."""
     key = t.normal_key(F.col("text"))
     status = F.when(key == "", "excluded").when(F.col("doc_id") % 7 == 0, "unverified").otherwise("accepted")
     d = table(spark, sf, "documents").select("lang", status.alias("status"), F.sha2(key.cast("binary"), 256).alias("key"))
@@ -115,26 +112,13 @@ def promoted_rows(spark, sf):
     return labels.where("quality = 1").join(old, "doc_id", "left").where("coalesce(old_status, '') <> 'accepted'").select("doc_id")
 
 
-@query("""
-WITH d AS (SELECT doc_id, list_distinct(string_split(lower(split_part(text, chr(10), 1)), ' ')[1:6]) AS forms FROM documents),
-     w AS (SELECT DISTINCT unnest(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS word FROM benchmark),
-     u AS (SELECT doc_id, unnest(forms) AS word FROM d)
-SELECT doc_id, len(forms)::INT AS n_forms FROM d WHERE NOT EXISTS (SELECT 1 FROM u JOIN w USING (word) WHERE u.doc_id = d.doc_id)
-""")
-def added_none_of_forms(spark, sf):
-    """Items of which every form is missing in the base."""
-    d = table(spark, sf, "documents").select("doc_id", F.array_distinct(F.slice(F.split(F.lower(F.split("text", "\n")[0]), " "), 1, 6)).alias("forms"))
-    base = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower(F.translate("text", "\n", " ")), " ")).alias("word"))
-    return m.none_of_forms(d, "doc_id", "forms", base, "word").select("doc_id", F.size("forms").alias("n_forms"))
-
-
 @query("""
 WITH d AS (SELECT doc_id, list_distinct(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS forms FROM documents),
      w AS (SELECT DISTINCT unnest(string_split(lower(replace(text, chr(10), ' ')), ' ')) AS word FROM benchmark),
      u AS (SELECT doc_id, unnest(forms) AS word FROM d)
 SELECT doc_id, len(forms)::INT AS n_forms FROM d WHERE NOT EXISTS (SELECT 1 FROM u JOIN w USING (word) WHERE u.doc_id = d.doc_id)
 """)
-def added_none_of_all_forms(spark, sf):
+def added_none_of_forms(spark, sf):
     """Items of which every form is missing in the base; forms are the distinct words of the whole text."""
     words = F.split(F.lower(F.translate("text", "\n", " ")), " ")
     d = table(spark, sf, "documents").select("doc_id", F.array_distinct(words).alias("forms"))

@@ -17,13 +17,13 @@ def test_keys_tell_texts_with_one_beginning_apart(spark, tmp_path):
     start = "Same words again. " * 20
     sf = write(spark, tmp_path, documents=([(1, start + "One"), (2, start + "two\n2"), (3, "")], "doc_id long, text string"))
     same = ("same words again " * 20).strip()
-    assert run(spark, "normalize_whole_text", sf) == [(1, f"{same} one"), (2, f"{same} two"), (3, "")]
+    assert run(spark, "normalize_text", sf) == [(1, f"{same} one"), (2, f"{same} two"), (3, "")]
 
 
 def test_forms_beyond_the_first_words_are_looked_up(spark, tmp_path):
     docs = [(1, "a b c d e f known"), (2, "a b\nKnown"), (3, "a b\nc a"), (4, "unknown")]
     sf = write(spark, tmp_path, documents=(docs, "doc_id long, text string"), benchmark=([(1, "so known\nis")], "item_id long, text string"))
-    assert run(spark, "added_none_of_all_forms", sf) == [(3, 3), (4, 1)]
+    assert run(spark, "added_none_of_forms", sf) == [(3, 3), (4, 1)]
 
 
 def test_anomalies_of_odd_users_count(spark, tmp_path):
