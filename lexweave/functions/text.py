@@ -54,15 +54,27 @@ def positional_vote(readings: Column) -> Column:
     xs = F.transform(F.filter(readings, lambda x: x.isNotNull()), lambda x: F.translate(x, "-", ""))
     same_length = F.forall(xs, lambda x: F.length(x) == F.length(F.try_element_at(xs, F.lit(1))))
 
-    def at(i: Column) -> Column:
-        cs = F.transform(xs, lambda x: F.substring(x, i, F.lit(1)))
+    def majority(cs: Column) -> Column:
         major = F.filter(cs, lambda c: F.size(F.filter(cs, lambda d: d == c)) > 1)
         return F.coalesce(F.get(major, F.lit(0)), F.get(cs, F.lit(0)))
 
-    first = F.try_element_at(xs, F.lit(1))
-    by_place = F.when(F.length(first) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(first), F.lit(1))), at), ""))
+    def by_place(chars: Column) -> Column:
+        def at(i: Column) -> Column:
+            return F.get(F.transform(F.array(F.transform(chars, lambda c: F.get(c, i))), majority), F.lit(0))
+
+        places = F.size(F.get(chars, F.lit(0)))
+        return F.when(places == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(places - 1, F.lit(0))), at), ""))
+
+    def of_three(chars: Column) -> Column:
+        a, b, c = (F.get(chars, F.lit(i)) for i in range(3))
+        outvoted = F.zip_with(b, c, lambda x, y: F.when(x == y, x))
+        return F.array_join(F.zip_with(a, outvoted, lambda x, y: F.coalesce(y, x)), "")
+
+    # texts are split once, as the variable of a function over one array, not once for each place
+    characters = F.transform(xs, lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, "")))
+    placed = F.get(F.transform(F.array(characters), lambda cs: F.when(F.size(cs) == 3, of_three(cs)).otherwise(by_place(cs))), F.lit(0))
     twice = F.get(F.filter(xs, lambda x: F.size(F.filter(xs, lambda y: y == x)) > 1), F.lit(0))
-    return F.when(F.size(xs) < 2, F.lit(None).cast("string")).when((F.size(xs) >= 3) & same_length, by_place).otherwise(twice)
+    return F.when(F.size(xs) < 2, F.lit(None).cast("string")).when((F.size(xs) >= 3) & same_length, placed).otherwise(twice)
 
 
 def wilson(k: Column, n: Column, z: float = 1.959964) -> tuple[Column, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as t
@@ -59,3 +59,22 @@ def digest(files: DataFrame) -> DataFrame:
     """(digest) of (path, content): the first 12 digits of the hash of all files' hashes, by path. Only hashes are gathered."""
     h = files.select("path", F.sha2("content", 256).alias("h"))
     return h.agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct("path", "h")))["h"], "\n").cast("binary"), 256), 1, 12).alias("digest"))
+
+
+#: Ids of one range of digest_by_range.
+DIGEST_BLOCK = 20_000
+
+
+def digest_by_range(rows: DataFrame, group: str, id: str, block: int = DIGEST_BLOCK) -> DataFrame:
+    """(group, digest) of rows with an integer id and a binary `content`: as `digest`, but of the hashes of ranges of `block` ids.
+
+    Null content adds nothing; a group without any content has a null digest. Ids must be distinct within a group.
+    """
+
+    def over(k: str) -> Column:
+        joined = F.array_join(F.array_sort(F.collect_list(F.struct(k, "_h")))["_h"], "\n")
+        return F.when(F.count("_h") > 0, F.sha2(joined.cast("binary"), 256))
+
+    h = rows.select(group, F.expr(f"`{id}` div {block}").alias("_block"), F.col(id).alias("_id"), F.sha2("content", 256).alias("_h"))
+    ranges = h.groupBy(group, "_block").agg(over("_id").alias("_h"))
+    return ranges.groupBy(group).agg(F.substring(over("_block"), 1, 12).alias("digest"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as t
-from lexweave.operators import dictionary, layout
+from lexweave.operators import dictionary, layout, quality
 from lexweave.plans.registry import query, table
 
 
@@ -85,19 +85,19 @@ def support_threshold(spark, sf):
 
 
 @query("""
-WITH c AS (SELECT conv_id, turn, substr(coalesce(text, ''), 1, 3) AS a, substr(coalesce(role, ''), 1, 3) AS b, CASE WHEN turn % 2 = 0 THEN substr(coalesce(text, ''), 1, 3) ELSE substr(coalesce(text, ''), 2, 3) END AS d FROM conversations),
-     x AS (SELECT *, CASE WHEN len(a) = len(b) AND len(b) = len(d) THEN 1 ELSE 0 END AS same FROM c)
-SELECT conv_id, turn, CASE WHEN same = 1 THEN
-    (CASE WHEN substr(b,1,1) = substr(d,1,1) THEN substr(b,1,1) ELSE substr(a,1,1) END) || (CASE WHEN substr(b,2,1) = substr(d,2,1) THEN substr(b,2,1) ELSE substr(a,2,1) END) || (CASE WHEN substr(b,3,1) = substr(d,3,1) THEN substr(b,3,1) ELSE substr(a,3,1) END)
-  WHEN a = b OR a = d THEN a WHEN b = d THEN b END AS vote FROM x
+WITH t AS (SELECT conv_id, turn, replace(coalesce(text, ''), '-', '') AS a FROM conversations),
+     c AS (SELECT conv_id, turn, a, lower(a) AS b, CASE WHEN turn % 3 = 2 THEN substr(a, 2) ELSE translate(a, 'aeiouAEIOU', 'eiouaeioua') END AS d FROM t),
+     x AS (SELECT *, len(a) = len(b) AND len(b) = len(d) AS same, string_split(a, '') AS al, string_split(b, '') AS bl, string_split(d, '') AS dl FROM c)
+SELECT conv_id, turn,
+       CASE WHEN same AND a = '' THEN '' WHEN same THEN array_to_string([CASE WHEN bl[i] = dl[i] THEN bl[i] ELSE al[i] END for i in range(1, len(a) + 1)], '')
+            WHEN a = b OR a = d THEN a WHEN b = d THEN b END AS vote FROM x
 """)
 def majority_vote(spark, sf):
-    """Three readings to one, place by place."""
+    """Three readings of a whole text to one, place by place, or, of unequal length, the one read twice."""
     c = table(spark, sf, "conversations")
-    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
-    a = F.substring(text, 1, 3)
-    d = F.when(F.col("turn") % 2 == 0, a).otherwise(F.substring(text, 2, 3))
-    return c.select("conv_id", "turn", t.positional_vote(F.array(a, F.substring(role, 1, 3), d)).alias("vote"))
+    a = F.translate(F.coalesce("text", F.lit("")), "-", "")
+    d = F.when(F.col("turn") % 3 == 2, F.expr("substring(_a, 2)")).otherwise(F.translate("_a", "aeiouAEIOU", "eiouaeioua"))
+    return c.select("conv_id", "turn", a.alias("_a")).select("conv_id", "turn", t.positional_vote(F.array("_a", F.lower("_a"), d)).alias("vote"))
 
 
 @query("""
@@ -119,12 +119,14 @@ def detectable_rate(spark, sf):
     return n.select("n", F.round(t.detectable_rate(F.col("n")), 12).alias("rate"))
 
 
-@query("SELECT source, substr(sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)), 1, 12) AS digest FROM documents GROUP BY source")
+@query(f"""
+WITH b AS (SELECT source, doc_id // {quality.DIGEST_BLOCK} AS block, sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) AS h FROM documents GROUP BY ALL)
+SELECT source, substr(sha256(string_agg(h, chr(10) ORDER BY block)), 1, 12) AS digest FROM b GROUP BY source
+""")
 def content_digest(spark, sf):
-    """A digest of digests: only hashes travel, and a source of very many documents is digested in order by its key."""
-    d = table(spark, sf, "documents").select("source", "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h"))
-    rows = d.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "h"))).alias("x"))
-    return rows.select("source", F.substring(F.sha2(F.array_join(F.col("x.h"), "\n").cast("binary"), 256), 1, 12).alias("digest"))
+    """A digest by source of digests by range of ids: no row gathers more than a range's hashes, or one for each range."""
+    d = table(spark, sf, "documents").select("source", "doc_id", F.col("text").cast("binary").alias("content"))
+    return quality.digest_by_range(d, "source", "doc_id")
 
 
 @query("""

@@ -160,3 +160,19 @@ def test_digest(spark):
     files = [("b", b"2"), ("a", b"1")]
     want = hashlib.sha256("\n".join(hashlib.sha256(c).hexdigest() for _, c in sorted(files)).encode()).hexdigest()[:12]
     assert quality.digest(spark.createDataFrame(files, "path string, content binary")).first()["digest"] == want
+
+
+def test_digest_by_range(spark):
+    import hashlib
+
+    texts = {("a", 0): b"x", ("a", 1): b"", ("a", 3): b"y", ("a", 2): None, ("a", 9): b"x", ("b", 4): None, (None, 5): b"z"}
+    sha = lambda xs: hashlib.sha256("\n".join(xs).encode()).hexdigest()
+    want = {}
+    for g in {g for g, _ in texts}:
+        ranges = {}
+        for (_, i), c in sorted((k, c) for k, c in texts.items() if k[0] == g and c is not None):
+            ranges.setdefault(i // 2, []).append(hashlib.sha256(c).hexdigest())
+        want[g] = sha([sha(v) for _, v in sorted(ranges.items())])[:12] if ranges else None
+    df = spark.createDataFrame([(c, i, g) for (g, i), c in texts.items()], "content binary, id long, g string")
+    assert dict(map(tuple, quality.digest_by_range(df, "g", "id", 2).collect())) == want
+    assert quality.digest_by_range(df.limit(0), "g", "id").collect() == []
